@@ -1,0 +1,75 @@
+"""Split a table into many consecutive ranges of an order.
+
+A window over a whole table, or over a key that holds a third of it, runs in one
+task. The operators that need such an order (forward fill, exact quantiles) cut
+it into ranges here, work on the ranges in parallel and pass on only one small
+row per range.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from weekloom.operators.schema import quoted
+
+ROWS_PER_RANGE = 2_000_000
+MOST_RANGES = 20_000
+SAMPLES_PER_RANGE = 100
+
+
+class Cuts:
+    """Sorted lower bounds of all ranges but the first.
+
+    They travel in the plan as one literal, so every task, also a retried one,
+    assigns a row to the same range. Results never depend on where the cuts
+    fall, only the evenness of the work does.
+    """
+
+    def __init__(self, bounds_json: str, count: int, element: T.DataType):
+        self.bounds = F.from_json(F.lit(bounds_json), T.ArrayType(element))
+        self.count = count
+
+    def range_of(self, key: Column) -> Column:
+        """How many cuts are at or below ``key``: a binary search, as a fold."""
+        steps = [1 << bit for bit in reversed(range(self.count.bit_length()))]
+        if not steps:
+            return F.lit(0)
+        return F.aggregate(
+            F.array(*[F.lit(step) for step in steps]),
+            F.lit(0),
+            lambda at, step: F.when(
+                F.get(self.bounds, at + step - F.lit(1)) <= key, at + step
+            ).otherwise(at),
+        )
+
+
+def order_key(columns: Sequence[str]) -> Column:
+    return F.struct(*[F.col(quoted(c)) for c in columns])
+
+
+def cut_evenly(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> Cuts:
+    """Cuts for ``ranges`` ranges of about equal size, estimated from a sample."""
+    keys = df.select(*[quoted(c) for c in columns])
+    rows = keys.count()
+    if ranges is None:
+        parallel = df.sparkSession.sparkContext.defaultParallelism
+        ranges = max(1, min(MOST_RANGES, max(parallel, rows // ROWS_PER_RANGE)))
+    fraction = SAMPLES_PER_RANGE * ranges / max(rows, 1)
+    if fraction < 1:
+        keys = keys.sample(fraction, seed=17)
+    firsts = (
+        keys.repartitionByRange(ranges, *[quoted(c) for c in columns])
+        .groupBy(F.spark_partition_id().alias("range"))
+        .agg(F.min(order_key(columns)).alias("key"))
+    )
+    # At most one key per range reaches this single row.
+    found = firsts.agg(
+        F.to_json(F.slice(F.array_sort(F.collect_list("key")), 2, MOST_RANGES)).alias("bounds"),
+        F.greatest(F.count("key") - 1, F.lit(0)).alias("count"),
+    ).first()
+    element = keys.select(order_key(columns).alias("key")).schema["key"].dataType
+    return Cuts(found["bounds"], found["count"], element)
