@@ -24,7 +24,8 @@ ADD_ALL_WINDOWS = (2, 4)
 
 
 def _series(group: str, date: str):
-    return Window.partitionBy(quoted(group)).orderBy(quoted(date))
+    """Rows without a date come last, where they are no other row's past."""
+    return Window.partitionBy(quoted(group)).orderBy(F.col(quoted(date)).asc_nulls_last())
 
 
 def add_date_parts(df: DataFrame, date: str = RETAIL.week) -> DataFrame:

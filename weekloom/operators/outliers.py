@@ -94,7 +94,7 @@ def quantiles_exact(
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
         .withColumn("rank", F.col("rank") - F.col("before"))
         .where(F.col("rank").between(0, F.col("n") - 1))
-        .select("c", "p", "zone", "rank", (position - F.floor(position)).alias("share"))
+        .select("c", "p", "zone", "rank", position.alias("position"))
     )
     zone = ["c", "p", "zone"]
     counted = (
@@ -103,13 +103,17 @@ def quantiles_exact(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(Window.partitionBy(*zone).orderBy("value")))
     )
-    low, high = F.min("value"), F.max("value")
+    low, high, at = F.min("value"), F.max("value"), F.max("position")
     name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("c") + 1)
     exact = (
         counted.join(F.broadcast(wanted), zone)
         .where(F.col("rank").between(F.col("upto") - F.col("n"), F.col("upto") - 1))
         .groupBy("c", "p")
-        .agg((low + (high - low) * F.max("share")).alias("value"))
+        .agg(
+            F.when(low == high, low)
+            .otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
+            .alias("value")
+        )
         .select(name.alias("column"), "p", "value")
     )
     empty = [c for i, c in enumerate(columns) if i not in filled]

@@ -15,7 +15,14 @@ from weekloom.operators.quality import QualityDetails, run_quality_checks
 from weekloom.operators.schema import coerce_types
 from weekloom.plans.clean import clean
 from weekloom.shared import materialise
-from weekloom.sinks.export import CATEGORY_WEEKLY, CITY_WEEKLY, export_cleaned, export_features
+from weekloom.sinks.export import (
+    CATEGORY_WEEKLY,
+    CITY_WEEKLY,
+    MAIN,
+    export_cleaned,
+    export_features,
+)
+from weekloom.sources.read import load_data
 from weekloom.sources.versions import read_latest
 
 
@@ -50,7 +57,10 @@ def wrangle(
     paths = export_cleaned(
         folder, main, tables.city_weekly, tables.category_weekly, columns.week, file_type
     )
-    return Wrangled(main, tables, run_quality_checks(main, columns), paths)
+    # The checks read what was exported; a CSV would not give the types back.
+    stored = load_data(raw.sparkSession, paths[MAIN], file_type, main.schema)
+    checked = stored if file_type == "parquet" else main
+    return Wrangled(checked, tables, run_quality_checks(checked, columns), paths)
 
 
 def build_features(
