@@ -20,6 +20,7 @@ def forward_fill(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     ranges: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Fill nulls with the last value before them.
 
@@ -34,7 +35,7 @@ def forward_fill(
         raise ValueError("forward fill needs columns that order the rows")
     require_columns(df, [column, *order_by, *partition_by])
     keys = [*partition_by, *order_by]
-    cuts = cut_evenly(df, keys, ranges)
+    cuts = cut_evenly(df, keys, ranges, rows)
     cut = df.withColumn(_RANGE, cuts.range_of(order_key(keys)))
 
     window = (

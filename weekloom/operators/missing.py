@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.columns import RETAIL, SalesColumns
 from weekloom.operators.forward_fill import forward_fill
 from weekloom.operators.regression import fill_with_model, fit_sales_model
-from weekloom.operators.schema import aggregate_columns, drop_null_rows, quoted
+from weekloom.operators.schema import cell_counts, drop_null_rows, one_row_per, quoted
 
 
 @dataclass(frozen=True)
@@ -49,28 +49,26 @@ def default_policy(columns: SalesColumns = RETAIL) -> dict[str, Rule]:
     }
 
 
-def null_count(column: str) -> Column:
-    return F.count_if(F.col(quoted(column)).isNull())
-
-
 def null_counts(df: DataFrame) -> DataFrame:
     """One row with the number of nulls per column."""
-    return df.agg(*[null_count(c).alias(c) for c in df.columns])
+    counts, rows, filled = cell_counts(df, df.columns)
+    return counts.select(*[(rows - filled[c]).alias(c) for c in df.columns])
 
 
 def null_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, nulls and percent of nulls per column; the share of an empty table is null."""
-    rows = F.count(F.lit(1))
-    return aggregate_columns(
-        df,
-        {
-            c: {
-                "rows": rows,
-                "nulls": null_count(c),
-                "share": F.try_divide(F.lit(100.0) * null_count(c), rows),
+    counts, rows, filled = cell_counts(df, df.columns if columns is None else columns)
+    return counts.select(
+        one_row_per(
+            {
+                c: {
+                    "rows": rows,
+                    "nulls": rows - f,
+                    "share": F.try_divide(F.lit(100.0) * (rows - f), rows),
+                }
+                for c, f in filled.items()
             }
-            for c in columns or df.columns
-        },
+        )
     )
 
 
@@ -135,7 +133,7 @@ def apply_policy(
             if share.percent < rule.threshold:
                 df = drop_null_rows(df, [column])
             else:
-                df = forward_fill(df, column, order_by)
+                df = forward_fill(df, column, order_by, rows=share.rows)
         elif isinstance(rule, ConstantOrMode):
             value = rule.constant if share.percent > rule.threshold else found.get(column)
             df = df if value is None else fill_constant(df, column, value)
@@ -168,14 +166,12 @@ def _shares(df: DataFrame, columns: Sequence[str], policy: Mapping[str, Rule]) -
         may_drop = [c for c in left if isinstance(policy[c], DropOrForwardFill)][:1]
         kept = F.col(quoted(may_drop[0])).isNotNull() if may_drop else F.lit(True)
         row = df.agg(
-            F.struct(F.count(F.lit(1)), *[null_count(c) for c in left]),
-            F.struct(
-                F.count_if(kept), *[F.count_if(kept & F.col(quoted(c)).isNull()) for c in left]
-            ),
+            F.struct(F.count(F.lit(1)), *[F.count(quoted(c)) for c in left]),
+            F.struct(F.count_if(kept), *[F.count(F.when(kept, F.col(quoted(c)))) for c in left]),
         ).first()
         counts = row[0]
         for position, column in enumerate(left, start=1):
-            shares[column] = share = _Share(counts[0], counts[position], dropped)
+            shares[column] = share = _Share(counts[0], counts[0] - counts[position], dropped)
             rule = policy[column]
             if isinstance(rule, DropOrForwardFill) and share.nulls:
                 if share.percent < rule.threshold:

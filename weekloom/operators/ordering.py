@@ -38,23 +38,30 @@ class Cuts:
         steps = [1 << bit for bit in reversed(range(self.count.bit_length()))]
         if not steps:
             return F.lit(0)
-        return F.aggregate(
-            F.array(*[F.lit(step) for step in steps]),
-            F.lit(0),
-            lambda at, step: F.when(
-                F.get(self.bounds, at + step - F.lit(1)) <= key, at + step
-            ).otherwise(at),
-        )
+
+        def search(found: Column) -> Column:
+            return F.aggregate(
+                F.array(*[F.lit(step) for step in steps]),
+                F.lit(0),
+                lambda at, step: F.when(
+                    F.get(self.bounds, at + step - F.lit(1)) <= found, at + step
+                ).otherwise(at),
+            )
+
+        # The one-element array evaluates the key once per row, not once per step.
+        return F.get(F.transform(F.array(key), search), F.lit(0))
 
 
 def order_key(columns: Sequence[str]) -> Column:
     return F.struct(*[F.col(quoted(c)) for c in columns])
 
 
-def cut_evenly(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> Cuts:
+def cut_evenly(
+    df: DataFrame, columns: Sequence[str], ranges: int | None = None, rows: int | None = None
+) -> Cuts:
     """Cuts for ``ranges`` ranges of about equal size, estimated from a sample."""
     keys = df.select(*[quoted(c) for c in columns])
-    rows = keys.count()
+    rows = keys.count() if rows is None else rows
     if ranges is None:
         parallel = df.sparkSession.sparkContext.defaultParallelism
         ranges = max(1, min(MOST_RANGES, max(parallel, rows // ROWS_PER_RANGE)))

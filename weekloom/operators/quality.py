@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.columns import RETAIL, SalesColumns
 from weekloom.operators.dedup import duplicate_counts, duplicate_groups
-from weekloom.operators.missing import null_count
 from weekloom.operators.profile import distinct_values
 from weekloom.operators.ranking import first_dates, random_sample
 from weekloom.operators.schema import one_row_per, quoted
@@ -31,52 +30,44 @@ def quality_report(
     columns: SalesColumns = RETAIL,
     types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """All checks as rows (check, subject, value, ok); ``ok`` is null where nothing is tested.
+    """All checks as rows (check, subject, value, status); status is ``info`` where nothing is tested.
 
     Nulls, types, range, dates and distinct values share one pass; duplicates and
     missing weeks need a shuffle of their own.
     """
     types = expected_types(columns) if types is None else types
-    rows = {("rows", "table"): (F.count(F.lit(1)), None)}
+    rows = {("rows", "table"): F.count(F.lit(1))}
     for c in df.columns:
-        rows["nulls", c] = (null_count(c), 0)
-    rows["not positive", columns.sales] = (
-        F.count_if(F.col(quoted(columns.sales)) <= 0),
-        0,
-    )
+        rows["nulls", c] = F.count(F.lit(1)) - F.count(quoted(c))
+    rows["not positive", columns.sales] = F.count_if(F.col(quoted(columns.sales)) <= 0)
     for c, t in types.items():
         differs = int(df.schema[c].dataType.simpleString() != t)
-        rows["type differs", c] = (F.any_value(F.lit(differs)).cast("bigint"), 0)
+        rows["type differs", c] = F.any_value(F.lit(differs)).cast("bigint")
     for c in (columns.city, columns.category):
-        rows["distinct values", c] = (F.count_distinct(F.col(quoted(c))), None)
+        rows["distinct values", c] = F.count_distinct(F.col(quoted(c)))
     names = {key: f"check_{i}" for i, key in enumerate(rows)}
-    one_pass = df.agg(*[rows[key][0].alias(name) for key, name in names.items()]).select(
-        one_row_per(
-            {
-                name: {
-                    "check": F.lit(key[0]),
-                    "subject": F.lit(key[1]),
-                    "value": F.col(name),
-                    "ok": F.lit(None).cast("boolean") if rows[key][1] is None else F.col(name) == 0,
-                }
-                for key, name in names.items()
-            },
-            "label",
-        )
-    )
-    duplicates = duplicate_counts(df).select(
-        F.lit("surplus duplicates").alias("check"),
-        F.lit("table").alias("subject"),
-        F.col("surplus_rows").alias("value"),
-        (F.col("surplus_rows") == 0).alias("ok"),
+    one_pass = df.agg(*[rows[key].alias(name) for key, name in names.items()]).select(
+        one_row_per({name: _check(*key, F.col(name)) for key, name in names.items()}, "label")
     )
-    gaps = missing_periods(df, columns.date).agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("missing weeks").alias("check"),
-        F.lit(columns.date).alias("subject"),
-        "value",
-        (F.col("value") == 0).alias("ok"),
+    surplus = _check("surplus duplicates", "table", F.col("surplus_rows"))
+    gaps = _check("missing weeks", columns.date, F.col("weeks"))
+    missing = missing_periods(df, columns.date).agg(F.count(F.lit(1)).alias("weeks"))
+    return (
+        one_pass.drop("label")
+        .unionByName(duplicate_counts(df).select(*[c.alias(n) for n, c in surplus.items()]))
+        .unionByName(missing.select(*[c.alias(n) for n, c in gaps.items()]))
     )
-    return one_pass.drop("label").unionByName(duplicates).unionByName(gaps)
+
+
+def _check(check: str, subject: str, value: Column) -> dict[str, Column]:
+    """A value that should be zero, unless it only informs."""
+    status = F.when(value == 0, "ok").otherwise("failed")
+    return {
+        "check": F.lit(check),
+        "subject": F.lit(subject),
+        "value": value,
+        "status": F.lit("info") if check in ("rows", "distinct values") else status,
+    }
 
 
 @dataclass(frozen=True)

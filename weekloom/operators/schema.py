@@ -73,18 +73,31 @@ def aggregate_columns(
 
 def schema_report(df: DataFrame) -> DataFrame:
     """Position, name and type of each column, with its filled and empty cells."""
-    return aggregate_columns(
-        df,
-        {
-            f.name: {
-                "position": F.any_value(F.lit(i)),
-                "type": F.any_value(F.lit(f.dataType.simpleString())),
-                "filled": F.count(quoted(f.name)),
-                "empty": F.count_if(F.col(quoted(f.name)).isNull()),
+    counts, rows, filled = cell_counts(df, df.columns)
+    return counts.select(
+        one_row_per(
+            {
+                f.name: {
+                    "position": F.lit(i),
+                    "type": F.lit(f.dataType.simpleString()),
+                    "filled": filled[f.name],
+                    "empty": rows - filled[f.name],
+                }
+                for i, f in enumerate(df.schema.fields, start=1)
             }
-            for i, f in enumerate(df.schema.fields, start=1)
-        },
+        )
+    )
+
+
+def cell_counts(
+    df: DataFrame, columns: Sequence[str]
+) -> tuple[DataFrame, Column, dict[str, Column]]:
+    """One row of counts, with the columns that hold its rows and its filled cells."""
+    names = {c: f"filled_{i}" for i, c in enumerate(columns)}
+    counts = df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(quoted(c)).alias(n) for c, n in names.items()]
     )
+    return counts, F.col("rows"), {c: F.col(n) for c, n in names.items()}
 
 
 def type_check(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:

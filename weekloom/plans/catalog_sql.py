@@ -401,10 +401,10 @@ def _quality(source: str, types_differ: dict[str, int]) -> str:
               EXCEPT SELECT week_start FROM {source}) AS gaps"""
     )
     return f"""
-      SELECT 'rows' AS "check", 'table' AS subject, count(*) AS value, CAST(NULL AS BOOLEAN) AS ok FROM {source}
-      UNION ALL SELECT 'distinct values', 'city', count(DISTINCT city), NULL FROM {source}
-      UNION ALL SELECT 'distinct values', 'category', count(DISTINCT category), NULL FROM {source}
-      UNION ALL SELECT "check", subject, value, value = 0 FROM ({" UNION ALL ".join(tested)}) AS tested"""
+      SELECT 'rows' AS "check", 'table' AS subject, count(*) AS value, 'info' AS status FROM {source}
+      UNION ALL SELECT 'distinct values', 'city', count(DISTINCT city), 'info' FROM {source}
+      UNION ALL SELECT 'distinct values', 'category', count(DISTINCT category), 'info' FROM {source}
+      UNION ALL SELECT "check", subject, value, CASE WHEN value = 0 THEN 'ok' ELSE 'failed' END FROM ({" UNION ALL ".join(tested)}) AS tested"""
 
 
 _add(
