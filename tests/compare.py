@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import pathlib
+import re
 
 import duckdb
 
@@ -51,3 +52,18 @@ def differences(spark_df, connection, sql: str) -> list[str]:
         if a != e:
             found.append(f"{a} instead of {e}")
     return found
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def unwanted_in_plan(df) -> list[str]:
+    """Operators that would not survive a large table."""
+    text = plan(df)
+    names = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas")
+    found = [name for name in names if name in text]
+    # Below the sort of a window is its exchange.
+    if re.search(r"Window .*\n.*Sort .*\n.*Exchange SinglePartition", text):
+        found.append("window in a single task")
+    return found

@@ -1,5 +1,5 @@
 import pytest
-from compare import differences, oracle
+from compare import differences, oracle, unwanted_in_plan
 
 from __spark_entry__ import oracle_sql, queries
 
@@ -18,6 +18,7 @@ def test_every_sql_has_a_query():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, small, connection, name):
     result = QUERIES[name](spark, small)
+    assert unwanted_in_plan(result) == []
     if name in SQL:
         assert differences(result, connection, SQL[name]) == []
     else:

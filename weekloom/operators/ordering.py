@@ -18,7 +18,7 @@ from weekloom.operators.schema import quoted
 
 ROWS_PER_RANGE = 2_000_000
 MOST_RANGES = 20_000
-SAMPLES_PER_RANGE = 100
+SAMPLES_PER_RANGE = 20
 
 
 class Cuts:
@@ -59,24 +59,25 @@ def order_key(columns: Sequence[str]) -> Column:
 def cut_evenly(
     df: DataFrame, columns: Sequence[str], ranges: int | None = None, rows: int | None = None
 ) -> Cuts:
-    """Cuts for ``ranges`` ranges of about equal size, estimated from a sample."""
-    keys = df.select(*[quoted(c) for c in columns])
-    rows = keys.count() if rows is None else rows
+    """Cuts for ``ranges`` ranges of about equal size, estimated from a sample of keys."""
+    key = order_key(columns)
+    element = df.select(key.alias("key")).schema["key"].dataType
+    rows = df.count() if rows is None else rows
     if ranges is None:
         parallel = df.sparkSession.sparkContext.defaultParallelism
         ranges = max(1, min(MOST_RANGES, max(parallel, rows // ROWS_PER_RANGE)))
+    if ranges == 1:
+        return Cuts("[]", 0, element)
+    keys = df.select(key.alias("key"))
     fraction = SAMPLES_PER_RANGE * ranges / max(rows, 1)
     if fraction < 1:
         keys = keys.sample(fraction, seed=17)
-    firsts = (
-        keys.repartitionByRange(ranges, *[quoted(c) for c in columns])
-        .groupBy(F.spark_partition_id().alias("range"))
-        .agg(F.min(order_key(columns)).alias("key"))
+    # About SAMPLES_PER_RANGE keys per range are sorted here, however large the table.
+    ordered = keys.agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    evenly = F.transform(
+        F.sequence(F.lit(1), F.lit(ranges - 1)),
+        lambda i: F.get("keys", F.floor(i * F.size("keys") / ranges).cast("int")),
     )
-    # At most one key per range reaches this single row.
-    found = firsts.agg(
-        F.to_json(F.slice(F.array_sort(F.collect_list("key")), 2, MOST_RANGES)).alias("bounds"),
-        F.greatest(F.count("key") - 1, F.lit(0)).alias("count"),
-    ).first()
-    element = keys.select(order_key(columns).alias("key")).schema["key"].dataType
+    cuts = F.array_distinct(F.filter(evenly, lambda k: k.isNotNull()))
+    found = ordered.select(F.to_json(cuts).alias("bounds"), F.size(cuts).alias("count")).first()
     return Cuts(found["bounds"], found["count"], element)

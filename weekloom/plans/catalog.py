@@ -26,7 +26,7 @@ from weekloom.operators.forward_fill import forward_fill
 from weekloom.plans.clean import clean
 from weekloom.plans.views import KEY, NAMES, dirty, sales, table
 from weekloom.plans.wrangle import build_features, wrangle
-from weekloom.shared import shared_folder
+from weekloom.shared import materialise, shared_folder
 from weekloom.sinks import export_features, export_version
 from weekloom.sources import load_data, read_folder, read_latest
 from weekloom.streaming import ingest_new_files
@@ -54,6 +54,15 @@ def _weekly(spark, folder, key="category", out=CATEGORY_SALES):
     return aggregate.sales_by_period(rows, key, "invoice_date", "total_sales", period=WEEK, out=out)
 
 
+def _landed(spark, folder, columns):
+    """The raw view as a stored table, as a raw file would be.
+
+    For steps that look at their input several times, so that the lookups behind
+    the view are joined once.
+    """
+    return materialise(dirty(spark, folder, columns), "raw-sales")
+
+
 def _totals(df, *keys, sales_column="total_sales"):
     """Row count and exact sales per key."""
     return df.groupBy(*keys).agg(
@@ -240,7 +249,7 @@ def null_counts(spark, folder):
 
 
 def _treated(spark, folder, columns, policy, order_by=()):
-    rows = dirty(spark, folder, [*columns, "full_sales"])
+    rows = _landed(spark, folder, [*columns, "full_sales"])
     return missing.apply_policy(rows, policy, order_by)
 
 
@@ -269,12 +278,12 @@ def _filled_checks(filled):
 
 @query
 def forward_fill_all(spark, folder):
-    return _filled_checks(forward_fill(dirty(spark, folder, [*KEY, "date_hi"]), "date_hi", KEY))
+    return _filled_checks(forward_fill(_landed(spark, folder, [*KEY, "date_hi"]), "date_hi", KEY))
 
 
 @query
 def forward_fill_by_key(spark, folder):
-    rows = dirty(spark, folder, [*KEY, "category_hi", "date_hi"])
+    rows = _landed(spark, folder, [*KEY, "category_hi", "date_hi"])
     return _filled_checks(forward_fill(rows, "date_hi", KEY, ["category_hi"]))
 
 
@@ -300,14 +309,14 @@ def mode_fill(spark, folder):
 
 @query
 def regression_impute(spark, folder):
-    rows = dirty(spark, folder, ["city_hi", "category_hi", "total_sales"])
+    rows = _landed(spark, folder, ["city_hi", "category_hi", "total_sales"])
     filled = regression.predict_missing_sales(rows, "total_sales", ["city_hi", "category_hi"])
     return _totals(filled, "city_hi", "category_hi")
 
 
 def _raw_sales(spark, folder):
     """Raw rows without null sales, so that no model is involved."""
-    rows = dirty(
+    rows = _landed(
         spark, folder, ["invoice_id", "invoice_date", "city", "category", "full_sales", "quantity"]
     )
     return schema.rename(rows, {"full_sales": "total_sales"})
@@ -326,7 +335,7 @@ def clean_sales(spark, folder):
 
 @query
 def clean_sales_many_nulls(spark, folder):
-    rows = dirty(
+    rows = _landed(
         spark, folder, ["invoice_id", *KEY, "date_hi", "city_hi", "category_hi", "full_sales", "quantity"]
     )
     raw = schema.rename(
