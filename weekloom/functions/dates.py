@@ -27,9 +27,8 @@ def period_start(c: Column, grain: str = "week") -> Column:
     """First day of the day, week (Monday) or month."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {', '.join(GRAINS)}: {grain}")
-    if grain == "day":
-        return c.cast("date")
-    return F.date_trunc(grain, c).cast("date")
+    day = c.cast("date")
+    return day if grain == "day" else F.trunc(day, grain)
 
 
 def week_start(c: Column) -> Column:

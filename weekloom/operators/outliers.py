@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from weekloom.operators.schema import aggregate_columns, numeric_columns, one_ro
 
 QUARTILES = (0.25, 0.75)
 FENCE_WIDTH = 1.5
-PARTS_OF_BRACKET = 1024
+ZONES = 1024
 APPROXIMATE_ACCURACY = 10_000
 
 
@@ -46,6 +49,19 @@ def quantiles_approx(
     return wide.select("column", one_row_per(at, "label")).select("column", "p", "value")
 
 
+@dataclass(frozen=True)
+class _Bracket:
+    """Values of a column that are sure to contain one of its quantiles."""
+
+    column: str
+    p: float
+    low: float
+    high: float
+    first_rank: int  # of the two values around the quantile, counted inside the bracket
+    last_rank: int
+    share: float  # how far the quantile lies from the first to the second
+
+
 def quantiles_exact(
     df: DataFrame,
     columns: Sequence[str],
@@ -54,81 +70,117 @@ def quantiles_exact(
 ) -> DataFrame:
     """As ``quantiles_approx``, but exact, with linear interpolation between ranks.
 
-    A sketch brackets each quantile. The values below, inside and above a bracket,
-    which is divided evenly into parts, are zones in the order of the values. A
-    second look counts each zone, and only the zones that hold a wanted rank are
-    counted value by value: no task sees all values of a column, and a bracket
-    that missed its quantile would cost time but not change the result.
+    A sketch brackets each quantile, and one pass counts the values below and in
+    each bracket. From then on only the few rows in a bracket matter. A bracket is
+    divided evenly into zones, and only the zones that hold a wanted rank are
+    counted value by value: no task sees all values of a column.
     """
-    columns = list(columns)
-    wide = [x for p in probabilities for x in (max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy))]
-    sketch = df.agg(*[F.percentile_approx(_double(c), wide, accuracy) for c in columns]).first()
-    filled = [i for i, found in enumerate(sketch) if found]
-    if not filled:
-        return quantiles_approx(df, columns, probabilities)
-    cells = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("c"),
-                        F.lit(float(p)).alias("p"),
-                        _double(columns[i]).alias("value"),
-                        _zone(_double(columns[i]), *sketch[i][2 * k : 2 * k + 2]).alias("zone"),
-                    )
-                    for i in filled
-                    for k, p in enumerate(probabilities)
-                ]
+    brackets = _brackets(df, columns, probabilities, accuracy)
+    empty = [c for c in columns if c not in {b.column for b in brackets}]
+    # A column without values has null quantiles either way.
+    nothing = quantiles_approx(df, empty, probabilities) if empty else None
+    if not brackets:
+        return nothing
+    inside = [_double(b.column).between(F.lit(b.low), F.lit(b.high)) for b in brackets]
+    cells = (
+        df.where(reduce(Column.__or__, inside))
+        .select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(i).alias("b"),
+                            F.when(inside[i], _double(b.column)).alias("value"),
+                            _zone(_double(b.column), b.low, b.high).alias("zone"),
+                        )
+                        for i, b in enumerate(brackets)
+                    ]
+                )
             )
         )
-    ).where(F.col("value").isNotNull())
+        .where(F.col("value").isNotNull())
+    )
 
-    quantile = Window.partitionBy("c", "p")
-    position = F.col("p") * (F.col("rows") - 1)
+    def of_bracket(values: list) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("b"))
+
+    ranks = F.array(
+        of_bracket([b.first_rank for b in brackets]), of_bracket([b.last_rank for b in brackets])
+    )
     wanted = (
-        # One row per zone, of which one or two per quantile stay.
-        cells.groupBy("c", "p", "zone")
+        # One row per zone of a bracket, of which one or two stay.
+        cells.groupBy("b", "zone")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(quantile.orderBy("zone")) - F.col("n"))
-        .withColumn("rows", F.sum("n").over(quantile))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
+        .withColumn("before", F.sum("n").over(Window.partitionBy("b").orderBy("zone")) - F.col("n"))
+        .withColumn("rank", F.explode(F.array_distinct(ranks)))
         .withColumn("rank", F.col("rank") - F.col("before"))
         .where(F.col("rank").between(0, F.col("n") - 1))
-        .select("c", "p", "zone", "rank", position.alias("position"))
+        .select("b", "zone", "rank")
     )
-    zone = ["c", "p", "zone"]
     counted = (
-        cells.join(F.broadcast(wanted.select(*zone).distinct()), zone, "left_semi")
-        .groupBy(*zone, "value")
+        cells.join(F.broadcast(wanted.select("b", "zone").distinct()), ["b", "zone"], "left_semi")
+        .groupBy("b", "zone", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(Window.partitionBy(*zone).orderBy("value")))
+        .withColumn("upto", F.sum("n").over(Window.partitionBy("b", "zone").orderBy("value")))
     )
-    low, high, at = F.min("value"), F.max("value"), F.max("position")
-    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("c") + 1)
+    first, second = F.min("value"), F.max("value")
+    share = of_bracket([b.share for b in brackets])
     exact = (
-        counted.join(F.broadcast(wanted), zone)
+        counted.join(F.broadcast(wanted), ["b", "zone"])
         .where(F.col("rank").between(F.col("upto") - F.col("n"), F.col("upto") - 1))
-        .groupBy("c", "p")
-        .agg(
-            F.when(low == high, low)
-            .otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
-            .alias("value")
+        .groupBy("b")
+        .agg(first.alias("first"), second.alias("second"))
+        .select(
+            of_bracket([b.column for b in brackets]).alias("column"),
+            of_bracket([b.p for b in brackets]).alias("p"),
+            F.when(F.col("first") == F.col("second"), F.col("first"))
+            .otherwise((1 - share) * F.col("first") + share * F.col("second"))
+            .alias("value"),
         )
-        .select(name.alias("column"), "p", "value")
     )
-    empty = [c for i, c in enumerate(columns) if i not in filled]
-    # A column without values has null quantiles either way.
-    return exact.unionByName(quantiles_approx(df, empty, probabilities)) if empty else exact
+    return exact.unionByName(nothing) if nothing else exact
+
+
+def _brackets(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int
+) -> list[_Bracket]:
+    margin = 2 / accuracy
+    bounds = [min(max(p + m, 0.0), 1.0) for p in probabilities for m in (-margin, margin)]
+    sketch = df.agg(*[F.percentile_approx(_double(c), bounds, accuracy) for c in columns]).first()
+    found = [
+        (c, float(p), *sketch[i][2 * k : 2 * k + 2])
+        for i, c in enumerate(columns)
+        if sketch[i]
+        for k, p in enumerate(probabilities)
+    ]
+    if not found:
+        return []
+    counts = df.agg(
+        *[
+            F.struct(
+                F.count(_double(c)),
+                F.count_if(_double(c) < low),
+                F.count_if(_double(c) <= high),
+                F.min(_double(c)),
+                F.max(_double(c)),
+            )
+            for c, _, low, high in found
+        ]
+    ).first()
+    brackets = []
+    for (c, p, low, high), (rows, below, upto, smallest, largest) in zip(found, counts):
+        position = p * (rows - 1)
+        first, last = math.floor(position), math.ceil(position)
+        if not below <= first <= last < upto:
+            # The sketch missed, against its promise: look at all values instead.
+            low, high, below = smallest, largest, 0
+        brackets.append(_Bracket(c, p, low, high, first - below, last - below, position - first))
+    return brackets
 
 
 def _zone(value: Column, low: float, high: float) -> Column:
-    """0 below the bracket, the parts from 1 on inside, and one more above."""
-    part = F.floor((value - F.lit(low)) / F.lit((high - low) or 1.0) * PARTS_OF_BRACKET)
-    return (
-        F.when(value < low, 0)
-        .when(value > high, PARTS_OF_BRACKET + 1)
-        .otherwise(F.least(part, F.lit(PARTS_OF_BRACKET - 1)) + 1)
-    )
+    part = F.floor((value - F.lit(low)) / F.lit((high - low) or 1.0) * ZONES)
+    return F.least(part, F.lit(ZONES - 1))
 
 
 def iqr_fences(

@@ -30,14 +30,23 @@ def spine(
 def missing_periods(
     df: DataFrame, date: str = RETAIL.week, by: Sequence[str] = (), grain: str = "week"
 ) -> DataFrame:
-    """Periods of the spine without any row."""
+    """Periods of the spine without any row.
+
+    The rows are read once and reduced to their distinct periods; each key's
+    periods then fit an array, as there are no more of them than the calendar has.
+    """
     keys = [quoted(c) for c in by]
-    present = df.select(*keys, period_start(F.col(quoted(date)), grain).alias(date)).distinct()
-    every = spine(present, date, by, grain)
-    same = present[quoted(date)] == every[quoted(date)]
-    for c in by:
-        same = same & present[quoted(c)].eqNullSafe(every[quoted(c)])
-    return every.join(present, same, "left_anti")
+    period = period_start(F.col(quoted(date)), grain)
+    present = (
+        df.select(*keys, period.alias("__period"))
+        .distinct()
+        .groupBy(*keys)
+        .agg(F.collect_list("__period").alias("__present"))
+    )
+    every = F.sequence(
+        F.array_min("__present"), F.array_max("__present"), F.expr(_STEPS[grain])
+    )
+    return present.select(*keys, F.explode(F.array_except(every, "__present")).alias(date))
 
 
 def ensure_continuity(

@@ -20,16 +20,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, folder: str, with_city: bool) -> DataFrame:
-    """Orders with their date and city, joined before the far larger line items are."""
+    """Orders with their date and city: the smaller tables are joined first."""
     orders = table(spark, folder, "orders")
     day = F.col("o_orderdate").cast("date").alias("o_date")
     if not with_city:
         return orders.select("o_orderkey", day)
     customers, nations = table(spark, folder, "customer"), table(spark, folder, "nation")
-    return (
-        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select("o_orderkey", day, "n_name")
+    customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        "o_orderkey", day, "n_name"
     )
 
 
