@@ -363,8 +363,8 @@ def test_add_all_uses_the_first_two_lags_and_names_what_is_missing(spark):
 
 def test_explore_returns_the_chosen_parts(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "k string, n int")
-    assert list(profile.explore(df, nulls=True, counts=True)) == ["nulls", "value_counts"]
-    parts = profile.explore(df, everything=True)
+    assert list(profile.explore(df, nulls=True, value_counts=True)) == ["nulls", "value_counts"]
+    parts = profile.explore(df, all=True)
     assert parts["overview"].first()["rows"] == 3
     assert tuple(parts["nulls"].first()) == (1, 0)
     counts = [tuple(r) for r in parts["value_counts"].collect()]
@@ -373,6 +373,14 @@ def test_explore_returns_the_chosen_parts(spark):
     assert (summary["count"], summary["min"], summary["max"]) == (3, 1.0, 2.0)
 
 
+def test_profile_without_numbers_or_without_text(spark):
+    text = spark.createDataFrame([("b",), ("a",)], "k string")
+    parts = profile.explore(text, summary=True)
+    assert parts["summary"].count() == 0
+    assert tuple(parts["text_summary"].first()) == ("k", 2, "a", "b")
+    assert profile.explore(spark.range(2), all=True)["text_summary"].count() == 0
+
+
 def test_quality_report(spark):
     df = spark.createDataFrame(
         [(D(2024, 1, 1), "a", "p", Decimal("1")), (D(2024, 1, 1), "a", "p", Decimal("1")), (D(2024, 1, 15), "b", None, Decimal("-2"))],

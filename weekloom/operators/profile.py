@@ -13,6 +13,10 @@ from weekloom.operators.outliers import quantiles_approx, quantiles_exact
 from weekloom.operators.schema import aggregate_columns, numeric_columns, quoted, schema_report
 
 SUMMARY_QUANTILES = (0.25, 0.5, 0.75)
+_SUMMARY_SCHEMA = (
+    "column string, count bigint, mean double, stddev double, min double, "
+    "q25 double, q50 double, q75 double, max double"
+)
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -29,6 +33,8 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per numeric column."""
     columns = numeric_columns(df) if columns is None else list(columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], _SUMMARY_SCHEMA)
     number = {c: F.col(quoted(c)).cast("double") for c in columns}
     moments = aggregate_columns(
         df,
@@ -59,6 +65,19 @@ def numeric_summary(
     )
 
 
+def text_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, first and last value in text order of the columns that hold no numbers."""
+    if columns is None:
+        numbers = set(numeric_columns(df))
+        columns = [c for c in df.columns if c not in numbers]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, count bigint, min string, max string")
+    text = {c: F.col(quoted(c)).cast("string") for c in columns}
+    return aggregate_columns(
+        df, {c: {"count": F.count(t), "min": F.min(t), "max": F.max(t)} for c, t in text.items()}
+    )
+
+
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """How often each value of each column occurs, nulls included; one scan for all columns."""
     columns = df.columns if columns is None else list(columns)
@@ -88,23 +107,38 @@ def distinct_counts(
     return aggregate_columns(df, {c: {"n_distinct": count(F.col(quoted(c)))} for c in columns})
 
 
+_PARTS = {
+    "schema": {"schema": schema_report},
+    "overview": {"overview": overview},
+    "summary": {"summary": numeric_summary, "text_summary": text_summary},
+    "nulls": {"nulls": null_counts},
+    "duplicates": {"duplicates": duplicate_counts},
+    "value_counts": {"value_counts": lambda df: most_frequent_first(value_counts(df))},
+}
+
+
 def explore(
     df: DataFrame,
     schema: bool = False,
-    overview_: bool = False,
+    overview: bool = False,
     summary: bool = False,
     nulls: bool = False,
     duplicates: bool = False,
-    counts: bool = False,
-    everything: bool = False,
+    value_counts: bool = False,
+    all: bool = False,
 ) -> dict[str, DataFrame]:
     """The chosen parts of the profile, by name."""
-    parts = {
-        "schema": (schema, schema_report),
-        "overview": (overview_, overview),
-        "summary": (summary, numeric_summary),
-        "nulls": (nulls, null_counts),
-        "duplicates": (duplicates, duplicate_counts),
-        "value_counts": (counts, lambda d: most_frequent_first(value_counts(d))),
+    flags = {
+        "schema": schema,
+        "overview": overview,
+        "summary": summary,
+        "nulls": nulls,
+        "duplicates": duplicates,
+        "value_counts": value_counts,
+    }
+    return {
+        name: build(df)
+        for flag, parts in _PARTS.items()
+        if all or flags[flag]
+        for name, build in parts.items()
     }
-    return {name: build(df) for name, (chosen, build) in parts.items() if chosen or everything}

@@ -539,6 +539,11 @@ def numeric_summary(spark, folder):
     return found.withColumns({c: F.round(c, 2) for c in ("mean", "stddev")})
 
 
+@query
+def text_summary(spark, folder):
+    return profile.text_summary(dirty(spark, folder, ["invoice_date", "city", "category_hi", "quantity"]))
+
+
 @query
 def value_counts(spark, folder):
     rows = dirty(spark, folder, ["city_hi", "category_hi", "l_linenumber"])
@@ -554,12 +559,13 @@ def most_frequent_values(spark, folder):
 @query
 def profile_all(spark, folder):
     rows = dirty(spark, folder, ["invoice_date", "city_hi", "category_hi", "quantity"])
-    parts = profile.explore(rows, everything=True)
+    parts = profile.explore(rows, all=True)
     nulls = parts["nulls"].unpivot([], rows.columns, "subject", "value")
     flat = {
         "schema": parts["schema"].select(F.concat_ws(" ", "column", "type").alias("subject"), F.col("filled").alias("value")),
         "overview": parts["overview"].select(F.col("names").alias("subject"), F.col("rows").alias("value")),
         "summary": parts["summary"].select(F.col("column").alias("subject"), F.col("count").alias("value")),
+        "text_summary": parts["text_summary"].select(F.col("column").alias("subject"), F.col("count").alias("value")),
         "nulls": nulls,
         "duplicates": parts["duplicates"].select(F.lit("groups").alias("subject"), F.col("duplicate_groups").alias("value")),
         "value_counts": parts["value_counts"].select(
@@ -649,6 +655,24 @@ def features_add_all(spark, folder):
     return _rounded(features.add_all(weekly, "city", CITY_SALES, WEEK))
 
 
+def _featured(spark, folder, grain, lags, windows):
+    rows = sales(spark, folder, ("invoice_date", "category", "total_sales"))
+    totals = aggregate.sales_by_period(
+        rows, "category", "invoice_date", "total_sales", grain, WEEK, CATEGORY_SALES
+    )
+    return _rounded(features.run_all(totals, "category", CATEGORY_SALES, lags, windows, WEEK))
+
+
+@query
+def features_daily(spark, folder):
+    return _featured(spark, folder, "day", [1, 2, 7], [2, 7])
+
+
+@query
+def features_monthly(spark, folder):
+    return _featured(spark, folder, "month", [1, 2], [2])
+
+
 def _gappy_events(spark, folder):
     """Events without the errors of one week, which leaves a gap in that series."""
     events = table(spark, folder, "events").select(

@@ -385,6 +385,15 @@ def _described(column: str) -> str:
 _add("numeric_summary", _described("total_sales") + " UNION ALL " + _described("quantity"))
 
 
+_add(
+    "text_summary",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS count, min({c}) AS min, max({c}) AS max FROM dirty"""
+        for c in ("invoice_date", "city", "category_hi")
+    ),
+)
+
+
 def _counted(column: str) -> str:
     return f"""SELECT '{column}' AS "column", CAST({column} AS VARCHAR) AS value, count(*) AS n
                FROM dirty GROUP BY {column}"""
@@ -404,6 +413,11 @@ _add(
         for c, t in _PROFILED.items()
     )
     + " UNION ALL SELECT 'summary', 'quantity', count(quantity) FROM dirty"
+    + "".join(
+        f" UNION ALL SELECT 'text_summary', '{c}', count({c}) FROM dirty"
+        for c, t in _PROFILED.items()
+        if t == "string"
+    )
     + f""" UNION ALL SELECT 'duplicates', 'groups', count(*)
            FROM (SELECT 1 FROM dirty GROUP BY {", ".join(_PROFILED)} HAVING count(*) > 1) AS repeated""",
 )
@@ -533,6 +547,18 @@ _add(
     f"weekly AS ({CITY_WEEKLY})",
     _featured(_city, "weekly", (1, 2, 4), (2, 4)),
 )
+for _name, _grain, _lags, _widths in (
+    ("features_daily", "day", (1, 2, 7), (2, 7)),
+    ("features_monthly", "month", (1, 2), (2,)),
+):
+    _period = f"CAST(date_trunc('{_grain}', invoice_date) AS DATE)"
+    _add(
+        _name,
+        f"SELECT *, {_category.trend()} FROM featured",
+        f"""totals AS (SELECT category, {_period} AS week_start,
+                              CAST(sum(total_sales) AS DOUBLE) AS "{CATEGORY}" FROM sales GROUP BY ALL)""",
+        _featured(_category, "totals", _lags, _widths),
+    )
 _GAPPY = """gappy AS (
     SELECT event_type, CAST(date_trunc('week', ts) AS DATE) AS week_start, CAST(value AS DECIMAL(12,2)) AS value
     FROM events
