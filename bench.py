@@ -45,12 +45,11 @@ def run(name: str, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
-    seconds = {}
+    # Once to let the JVM compile the code of the plans, once on the clock. The
+    # intermediate tables of the first round are not used again.
     for name in HEADLINE:
-        # Once to let the JVM compile the plan's code, once on the clock. The
-        # intermediate tables of the first run are not used again.
         run(name, spark, folder)
-        seconds[name] = round(run(name, spark, folder), 3)
+    seconds = {name: round(run(name, spark, folder), 3) for name in HEADLINE}
     print(
         json.dumps(
             {
