@@ -9,7 +9,7 @@ difference cover are hashed: residues D modulo a period v such that any two resi
 difference of D. For any two equal windows, at i and j, some d < v puts both i + d and j + d on
 cover positions, so both hold an equal *anchor* of ``window - v + 1`` words there. Anchors found
 once in the corpus are dropped, which rules out nearly all text; around the others the anchor is
-extended to whole windows, which are compared by 128-bit hashes.
+extended to whole windows, which are compared by 96-bit hashes.
 
 Hot passages: equal anchors, and equal windows, are first brought together within each batch. Only
 the first of them keeps the common hash as its shuffle key; the others are already known to repeat
@@ -17,8 +17,8 @@ and travel under keys of their own. So a passage that is in every document sends
 to one task, not one row per document.
 
 Defined results: a null text has no words; an empty text stays empty; rows of a null id count as
-last; rows that share an id are ordered as they were read, so of fully repeated rows all but one
-lose their windows; an empty table gives an empty one; other columns are ignored.
+last; rows that share an id are ordered by their texts, and of fully repeated rows all but one lose
+their windows; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.llm.words import Words, compressed, decompressed, mix, slices, windows
-from weekloom.shared import materialise
+from weekloom.llm.storage import landed
 
 #: Perfect difference sets by period.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -79,11 +79,10 @@ def _anchors(window: int):
             # The first of several is known to repeat too, and must still meet other batches.
             leads = np.zeros(len(key), bool)
             leads[order[:-1]] = known[order[1:]]
-            own = mix(mix(owner.astype(np.uint64)) ^ place.astype(np.uint64))
             signed = np.where(known | leads, -1 - place, place)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.where(known, own, key).view(np.int64)),
+                    pa.array(np.where(known, mix(owner.astype(np.uint64)), key).view(np.int64)),
                     pa.array(owner),
                     pa.array(signed.astype(np.int32)),
                 ],
@@ -119,7 +118,7 @@ def _windows(window: int):
 
     def run(batches):
         for batch in batches:
-            rows, ids = batch.column("row").to_numpy(), batch.column("doc_id").to_numpy()
+            rows = batch.column("row").to_numpy()
             texts, places = decompressed(batch.column("packed")), batch.column("places")
             at_offsets = places.offsets.to_numpy() - places.offsets[0].as_py()
             at_values = places.flatten().to_numpy()
@@ -141,27 +140,25 @@ def _windows(window: int):
                 out.append(
                     (
                         windows(hashes, window)[at],
-                        windows(hashes, window, 1)[at],
-                        ids[owner + first],
+                        (windows(hashes, window, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32),
                         rows[owner + first],
                         at - words.bounds[owner],
                     )
                 )
             if not out:
                 continue
-            key, check, doc, row, place = (np.concatenate(c) for c in zip(*out))
-            order = np.lexsort((place, row, doc, check, key))
+            key, check, row, place = (np.concatenate(c) for c in zip(*out))
+            order = np.lexsort((place, row, check, key))
             repeat = _known(check, order) & _known(key, order)
-            own = mix(mix(row.astype(np.uint64)) ^ place.astype(np.uint64))
+            own = mix(row.astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(repeat, own, key).view(np.int64)),
-                    pa.array(check.view(np.int64)),
-                    pa.array(doc),
+                    pa.array(np.where(repeat, 0, check).astype(np.int32)),
                     pa.array(row),
                     pa.array(np.where(repeat, -1 - place, place).astype(np.int32)),
                 ],
-                ["key", "check", "doc_id", "row", "place"],
+                ["key", "check", "row", "place"],
             )
 
     return run
@@ -169,12 +166,12 @@ def _windows(window: int):
 
 def _repeated_windows(batches):
     """All but the first window of each key; those known before are marked by their sign."""
-    read = _read_all(batches, ["key", "check", "doc_id", "row", "place"])
+    read = _read_all(batches, ["key", "check", "row", "place"])
     if read is None:
         return
-    key, check, doc, row, place = read
+    key, check, row, place = read
     marked = place < 0
-    order = np.lexsort((place, row, doc, check, key, marked))
+    order = np.lexsort((place, row, check, key, marked))
     repeat = (_known(check, order) & _known(key, order)) | marked
     place = np.where(marked, -1 - place, place).astype(np.int32)
     yield pa.RecordBatch.from_arrays([pa.array(row[repeat]), pa.array(place[repeat])], ["row", "place"])
@@ -220,23 +217,24 @@ def _gathered(places: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_removed`` and ``kept_text``, the words that
     no repeated window covers, joined by single spaces."""
-    rows = materialise(
-        docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            F.monotonically_increasing_id().alias("row"),
-            compressed(F.col(text_col)).alias("packed"),
-        ),
-        "substring-rows",
-    )
-    anchors = rows.select("row", "packed").mapInArrow(_anchors(window), "key long, row long, place int")
-    repeated = anchors.repartition("key").mapInArrow(_repeated_anchors, "row long, place int")
-    last = F.lit((1 << 63) - 1)
-    around = (
-        rows.withColumn("doc_id", F.coalesce("doc_id", last))
-        .join(_gathered(repeated), "row")
-        .mapInArrow(_windows(window), "key long, check long, doc_id long, row long, place int")
-    )
-    repeats = around.repartition("key").mapInArrow(_repeated_windows, "row long, place int")
-    return rows.join(_gathered(repeats), "row", "left").mapInArrow(
+    # Rows numbered in the order of their ids: what has the smaller number starts earlier.
+    sent = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), compressed(F.col(f"`{text_col}`")).alias("packed"))
+    in_order = (F.col("doc_id").asc_nulls_last(), F.col("packed"))
+    sent = sent.repartitionByRange(*in_order).sortWithinPartitions(*in_order)
+    rows = landed(sent.withColumn("row", F.monotonically_increasing_id()), "substring-rows")
+    around = landed(_gathered(_repeats_of_anchors(rows, window)), "substring-anchors")
+    repeats = landed(_gathered(_repeats_of_windows(rows, around, window)), "substring-windows")
+    return rows.join(repeats, "row", "left").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, kept_text string"
     )
+
+
+def _repeats_of_anchors(rows: DataFrame, window: int) -> DataFrame:
+    anchors = rows.select("row", "packed").mapInArrow(_anchors(window), "key long, row long, place int")
+    return anchors.repartition("key").mapInArrow(_repeated_anchors, "row long, place int")
+
+
+def _repeats_of_windows(rows: DataFrame, around: DataFrame, window: int) -> DataFrame:
+    candidates = rows.select("row", "packed").join(around, "row")
+    candidates = candidates.mapInArrow(_windows(window), "key long, check int, row long, place int")
+    return candidates.repartition("key").mapInArrow(_repeated_windows, "row long, place int")
