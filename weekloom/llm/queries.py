@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.llm.mixing import mix
+from weekloom.llm.near_duplicates import near_duplicates
+from weekloom.llm.sharding import pack
 from weekloom.llm.substrings import remove_repeats
 from weekloom.sources.read import load_data
 
@@ -15,12 +18,31 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return load_data(spark, f"{folder}/{name}.parquet", "parquet")
 
 
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack(_table(spark, folder, "documents"), shards=16)
+    return packed.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix(_table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(_table(spark, folder, "documents"), shingle=3, threshold=0.85)
+    found = found.select(F.col("document.doc_id").alias("doc_id"), "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = remove_repeats(_table(spark, folder, "documents"), window=20)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op9_mixing": op9_mixing,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
