@@ -15,7 +15,8 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     What was shuffled for it is of no use any more. Spark removes such files when the driver's
     garbage is collected, which may come long after the disks are full, so that is asked for here.
     """
-    out = materialise(df, label)
+    out, context = materialise(df, label), df.sparkSession.sparkContext
+    del df  # a caller's temporary is free from here on
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    context._jvm.System.gc()
     return out
