@@ -9,10 +9,10 @@ full sets.
 
 Equal sets are one node from the start, so copies cost one row. A bucket of k nodes yields k - 1
 pairs, of each node with the bucket's first. Their confirmed links give components. Only where a
-bucket then still holds several components are the other pairs across components looked at, in
-blocks of bounded size, and all of those that the estimate doesn't rule out are confirmed too. Pairs
-within a component can't change it; so no link that matters is lost, and no bucket is expanded into
-all its pairs.
+bucket then still holds several components do the nodes outside its largest component meet the rest
+of it, in groups of bounded size; pairs across components that the estimate doesn't rule out are
+confirmed within the group, and only links leave it. Pairs within a component can't change it; so no
+link that matters is lost, and no bucket is expanded into all its pairs.
 
 Defined results: a document of fewer words than a shingle is one shingle, its whole sequence; one
 without words, or a null text, is empty and linked with nothing; rows that share an id keep their own
@@ -38,8 +38,8 @@ from weekloom.llm.storage import landed
 
 REGISTERS = 100
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-#: Nodes of a bucket that are compared with each other in one go.
-BLOCK = 1024
+#: Nodes of a bucket that meet as many others in one go.
+BLOCK = 256
 _random = np.random.default_rng(11)
 _FACTORS = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
@@ -130,7 +130,8 @@ def _bands(rows: int):
                 key = np.full(len(nodes), band + 1, np.uint64)
                 for j in range(band * rows, (band + 1) * rows):
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + registers[:, j] + np.uint64(1))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), nodes], ["key", "node"])
+                bands = pa.array(np.full(len(nodes), band, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), bands, nodes], ["key", "band", "node"])
 
     return run
 
@@ -204,66 +205,103 @@ def _pair_places(starts: np.ndarray, ends: np.ndarray, most: int = 1 << 18):
         first = last
 
 
-def _across(threshold: float):
-    """Pairs of different components in each (key, i, j); the rows come sorted by these."""
+def _first_band(left: np.ndarray, right: np.ndarray, rows: int) -> np.ndarray:
+    """The first band in which two register rows agree; both share a bucket, so there is one."""
+    bands = left.shape[1] // rows
+    same = (left == right)[:, : bands * rows].reshape(len(left), bands, rows).all(2)
+    return same.argmax(1)
 
-    def pairs(table: pa.Table):
+
+def _across(shingle: int, threshold: float):
+    """Confirmed links between components in each (key, block, chunk): between its rows of side 0 and
+    those of side 1. The rows come sorted by these. A pair is looked at in its first common bucket."""
+    rows_in_band = rows_per_band(threshold)
+
+    def links(table: pa.Table):
         table = table.combine_chunks()
-        parts = [table.column(n).to_numpy() for n in ("key", "i", "j")]
+        parts = [table.column(n).to_numpy() for n in ("key", "block", "chunk")]
         change = np.ones(len(table), bool)
         change[1:] = np.any([p[1:] != p[:-1] for p in parts], axis=0)
         starts = np.flatnonzero(change)
         ends = np.r_[starts[1:], len(table)]
-        i, j, block = parts[1], parts[2], table.column("block").to_numpy()
+        side, band = table.column("side").to_numpy(), table.column("band").to_numpy()
         nodes = table.column("node").combine_chunks()
-        root = np.array(table.column("root").to_pylist(), dtype=object)
-        _, root = np.unique(root, return_inverse=True)
+        names = np.array(table.column("root").to_pylist(), dtype=object)
+        _, root = np.unique(names, return_inverse=True)
         registers, sizes = _matrix(table.column("registers").combine_chunks()), table.column("n_shingles").to_numpy()
+        packed = table.column("packed").combine_chunks().dictionary_encode()
+        text_of = packed.indices.to_numpy()
+        sets: list[np.ndarray] | None = None
+        joined: set[tuple[int, int]] = set()
         for left, right in _pair_places(starts, ends):
-            wanted = (root[left] != root[right]) & ((i[left] == j[left]) | (block[left] != block[right]))
+            wanted = (side[left] != side[right]) & (root[left] != root[right])
+            left, right = left[wanted], right[wanted]
+            wanted = _first_band(registers[left], registers[right], rows_in_band) == band[left]
             left, right = left[wanted], right[wanted]
             keep = _possible(registers[left], registers[right], sizes[left], sizes[right], threshold)
             left, right = left[keep], right[keep]
-            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left)), nodes.take(pa.array(right))], ["a", "b"])
+            if not len(left):
+                continue
+            if sets is None:
+                sets = _sets(packed.dictionary, shingle)
+            heads = np.flatnonzero(np.r_[True, left[1:] != left[:-1]])
+            for low, high in zip(heads, np.r_[heads[1:], len(left)]):
+                a, others = left[low], right[low:high]
+                own = sets[text_of[a]]
+                theirs = [sets[text_of[b]] for b in others]
+                bounds = np.cumsum([0, *map(len, theirs)])
+                every = np.concatenate(theirs)
+                place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                common = np.add.reduceat((own[place] == every).astype(np.int64), bounds[:-1])
+                for b in others[_reaches(common, len(own), np.diff(bounds), threshold)]:
+                    pair = (root[a], root[b])
+                    if pair not in joined:
+                        joined.add(pair)
+                        yield pa.RecordBatch.from_arrays([nodes.take(pa.array([a])), nodes.take(pa.array([b]))], ["a", "b"])
 
     def run(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            keys = [held.column(n).to_numpy() for n in ("key", "i", "j")]
+            keys = [held.column(n).to_numpy() for n in ("key", "block", "chunk")]
             last = np.all([k == k[-1] for k in keys], axis=0)
             whole = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
             if whole:
-                yield from pairs(held.slice(0, whole))
+                yield from links(held.slice(0, whole))
                 held = held.slice(whole)
         if held is not None and len(held):
-            yield from pairs(held)
+            yield from links(held)
 
     return run
 
 
-def _confirmed(shingle: int, threshold: float):
-    hundredths = round(threshold * 10_000)
+def _reaches(common, size, other_size, threshold: float):
+    """Whether the Jaccard similarity is ``threshold`` at least, in whole numbers."""
+    return 10_000 * common >= round(threshold * 10_000) * (size + other_size - common)
+
 
-    def sets(column: pa.Array):
-        texts, out = decompressed(column), []
-        for _, last, data, offsets in slices(texts):
-            key, who = _shingles(Words(data, offsets, lower=True), shingle)
-            out += np.split(key, np.searchsorted(who, np.arange(1, len(offsets) - 1)))
-        return out
+def _sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
+    """Sorted distinct shingles of each packed text."""
+    texts, out = decompressed(column), []
+    for _, _, data, offsets in slices(texts):
+        key, who = _shingles(Words(data, offsets, lower=True), shingle)
+        out += np.split(key, np.searchsorted(who, np.arange(1, len(offsets) - 1)))
+    return out
 
+
+def _confirmed(shingle: int, threshold: float):
     def run(batches):
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
                 # The same text is in many pairs of a batch: make its set once.
                 left, right = part.column("packed_a").dictionary_encode(), part.column("packed_b").dictionary_encode()
-                a, b = sets(left.dictionary), sets(right.dictionary)
+                a, b = _sets(left.dictionary, shingle), _sets(right.dictionary, shingle)
                 keep = []
                 for x, y in zip(left.indices.to_pylist(), right.indices.to_pylist()):
                     common = len(np.intersect1d(a[x], b[y], assume_unique=True))
-                    keep.append(10_000 * common >= hundredths * (len(a[x]) + len(b[y]) - common))
+                    keep.append(bool(_reaches(common, len(a[x]), len(b[y]), threshold)))
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -275,14 +313,10 @@ def _unpacked(column: pa.Array) -> pa.Array:
     return pa.array([None if z is None else t for z, t in zip(column.to_pylist(), texts.to_pylist())], pa.string())
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    at = sets.select("node", "row").join(wanted, "node").select("row", "node")
-    texts = landed(rows.select("row", "packed").join(at, "row").select("node", "packed"), "near-texts")
-    one, other = (texts.select(F.col("node").alias(s), F.col("packed").alias(f"packed_{s}")) for s in "ab")
-    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "packed_a", "packed_b")
-    return joined.mapInArrow(_confirmed(shingle, threshold), "a binary, b binary")
+def _texts(nodes: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """``node`` and ``packed``, one of its texts, of the given nodes."""
+    at = sets.select("node", "row").join(nodes.distinct(), "node").select("row", "node")
+    return landed(rows.select("row", "packed").join(at, "row").select("node", "packed"), "near-texts")
 
 
 def near_duplicates(
@@ -318,7 +352,7 @@ def near_duplicates(
         ),
         "near-sets",
     )
-    buckets = sets.select("node", "registers").mapInArrow(_bands(rows_per_band(threshold)), "key long, node binary")
+    buckets = sets.select("node", "registers").mapInArrow(_bands(rows_per_band(threshold)), "key long, band int, node binary")
     shared = buckets.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("members")).where("members > 1")
     members = landed(buckets.join(shared, "key"), "near-buckets")
 
@@ -328,27 +362,37 @@ def near_duplicates(
         for s in "ab"
     }
     likely = stars.join(sketch["a"], "a").join(sketch["b"], "b").mapInArrow(_estimated(threshold), "a binary, b binary")
-    links = landed(_confirm(landed(likely, "near-likely"), sets, rows, shingle, threshold), "near-links")
+    likely = landed(likely, "near-likely")
+    texts = _texts(likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))), sets, rows)
+    one, other = (texts.select(F.col("node").alias(s), F.col("packed").alias(f"packed_{s}")) for s in "ab")
+    pairs = likely.join(one, "a").join(other, "b").select("a", "b", "packed_a", "packed_b")
+    links = landed(pairs.mapInArrow(_confirmed(shingle, threshold), "a binary, b binary"), "near-links")
     roots = connected_components(links)
 
-    # Buckets that still hold several components: every pair across them.
+    # Buckets that still hold several components: each node outside a bucket's largest component
+    # meets all others of the bucket, in groups of a block of all and a chunk of such nodes.
     labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    shares = labelled.groupBy("key", "root").agg(F.count("*").alias("n"))
+    open_keys = shares.groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("outside")
+    ).where("outside > 0")
+    minor = F.col("root") != F.col("main")
+    blocks, chunks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("members", "outside"))
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    chunk = F.pmod(F.xxhash64("node", F.lit(1)), chunks).cast("int")
+    as_any = F.transform(F.sequence(F.lit(0), chunks - 1), lambda c: F.struct(block.alias("block"), c.alias("chunk"), F.lit(0).alias("side")))
+    as_minor = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.struct(b.alias("block"), chunk.alias("chunk"), F.lit(1).alias("side")))
+    meeting = landed(labelled.join(open_keys, "key"), "near-open")
+    texts = _texts(meeting.select("node"), sets, rows)
     crossing = (
-        labelled.join(open_keys.select("key"), "key")
-        .select("key", "node", "root", block.alias("block"), other.alias("other"))
-        .join(sets.select("node", "registers", "n_shingles"), "node")
-        .select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "node")
-        .select("key", "i", "j", "block", "node", "root", "registers", "n_shingles")
-        .mapInArrow(_across(threshold), "a binary, b binary")
-        .distinct()
+        meeting.select("key", "band", "node", "root", F.explode(F.when(minor, F.concat(as_any, as_minor)).otherwise(as_any)).alias("at"))
+        .select("key", "band", "node", "root", "at.*")
+        .join(sets.select("node", "registers", "n_shingles").join(texts, "node"), "node")
+        .repartition("key", "block", "chunk")
+        .sortWithinPartitions("key", "block", "chunk", "side", "node")
+        .select("key", "band", "block", "chunk", "side", "node", "root", "registers", "n_shingles", "packed")
     )
-    more = _confirm(landed(crossing, "near-across"), sets, rows, shingle, threshold)
+    more = crossing.mapInArrow(_across(shingle, threshold), "a binary, b binary").distinct()
     to_root = {
         s: roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"
     }
