@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.llm.decontaminate import contaminated
+from weekloom.llm.html_text import extract_text
+from weekloom.llm.language import held_out, identify, train
+from weekloom.llm.licenses import scan_licenses
 from weekloom.llm.mixing import mix
 from weekloom.llm.near_duplicates import near_duplicates
+from weekloom.llm.quality import judge
 from weekloom.llm.sharding import pack
 from weekloom.llm.substrings import remove_repeats
+from weekloom.llm.token_files import read_token_files, write_token_files
 from weekloom.sources.read import load_data
 
 
@@ -23,6 +30,35 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    manifest = write_token_files(_table(spark, folder, "documents"), tokenizer, end_id=2)
+    read = read_token_files(manifest)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(_table(spark, folder, "documents"))
+
+
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(_table(spark, folder, "pages"))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge(_table(spark, folder, "documents"))
+    return judged.select(F.col("document.doc_id").alias("doc_id"), *[c for c in judged.columns if c != "document"])
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return identify(docs, train(docs.where(~held_out())))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -41,9 +77,15 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_decontamination": op2_decontamination,
+    "op3_token_files": op3_token_files,
+    "op4_license_scan": op4_license_scan,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
-    "op8_substring_dedup": op8_substring_dedup,
 }
 
 SQL: dict[str, str] = {}
