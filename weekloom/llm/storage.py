@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame
 
 from weekloom.shared import materialise
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def landed(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    What was shuffled for it is of no use any more. Spark removes such files when the driver's
-    garbage is collected, which may come long after the disks are full, so that is asked for here.
+    What was shuffled for it is of no use once it is written. Spark would remove such files when the
+    driver's garbage happens to be collected; here they go with the end of the write.
     """
-    out, context = materialise(df, label), df.sparkSession.sparkContext
-    del df  # a caller's temporary is free from here on
-    gc.collect()
-    context._jvm.System.gc()
-    return out
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialise(df, label)
+    finally:
+        conf.set(_CLEANUP, before) if before is not None else conf.unset(_CLEANUP)
