@@ -12,8 +12,8 @@ Any zstandard reader can decompress such a file as a whole; a reader of some doc
 table from the end, and then only their frames, and checks each against its checksum.
 
 The word-level tokenizers here never join text across white space, so a text's ids are its
-white-space separated pieces' ids in a row. Each task remembers the ids of the pieces it has met and
-asks the tokenizer only for new ones.
+white-space separated pieces' ids in a row. Each Python worker remembers the ids of pieces it has met
+and asks the tokenizer only for new ones, for plain words its model alone.
 
 A task writes to a file name of its own and returns it; only names that Spark committed to the
 manifest count, so a repeated or lost task leaves at most an unlisted file. The folder must be
@@ -47,27 +47,63 @@ IDS_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 NO_ID = -(1 << 63)
 #: Pieces remembered per Python worker, and the longest that is.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 600_000, 64
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 characters for
+    themselves, the other bytes in order from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 class Pieces(dict):
-    """Token bytes by white-space separated piece of UTF-8."""
+    """Token bytes by white-space separated piece of UTF-8, with a bounded number of pieces remembered.
+
+    A full generation of pieces becomes the former one; a piece that is met again moves back to the
+    present one, so frequent pieces stay.
+    """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.former: dict[bytes, bytes] = {}
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _new(self, piece: bytes) -> bytes:
+        # A letter or digit and a stop behind it are always apart.
+        if piece[-1] in b".," and piece[-2:-1].isalnum():
+            return self[piece[:-1]] + self[piece[-1:]]
+        text = piece.decode("utf-8", "replace")
+        if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
+            # One word of plain letters: nothing to normalise but the case, nothing to split.
+            word = text.lower().encode().decode("latin-1").translate(_LETTERS)
+            return np.array([token.id for token in self.model.tokenize(word)], "<u4").tobytes()
+        return self._encoded(text)
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = np.array(ids, "<u4").tobytes()
+        packed = self.former.get(piece)
+        if packed is None:
+            packed = self._new(piece)
         if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.former = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        # Special tokens are looked for before the case is; a text that may hold one is left whole.
+        if b"<|" in text:
+            return self._encoded(text.decode("utf-8", "replace"))
+        return b"".join(map(self.__getitem__, text.lower().split()))
 
 
 _pieces: dict[str, Pieces] = {}
