@@ -33,7 +33,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from weekloom.llm.components import connected_components
-from weekloom.llm.words import Words, compressed, decompressed, mix, slices, windows
+from weekloom.llm.words import Words, compressed, decompressed, mix, packed_slices, windows
 from weekloom.llm.storage import landed
 
 REGISTERS = 100
@@ -83,14 +83,14 @@ def _registers(minima: np.ndarray) -> np.ndarray:
 def _sketches(shingle: int):
     def run(batches):
         for batch in batches:
-            texts, rows = decompressed(batch.column("packed")), batch.column("row").to_numpy()
+            rows = batch.column("row").to_numpy()
             n = len(rows)
             sizes = np.zeros(n, np.int64)
             digest = np.zeros((n, 2), np.uint64)
             registers = np.zeros((n, REGISTERS), np.uint16)
             # Texts without shingles get a key of their own, which keeps joins on it even.
             digest[:, 0] = mix(rows.astype(np.uint64))
-            for first, _, data, offsets in slices(texts):
+            for first, _, data, offsets in packed_slices(batch.column("packed")):
                 key, who = _shingles(Words(data, offsets, lower=True), shingle)
                 if not len(key):
                     continue
@@ -189,7 +189,7 @@ def _estimated(threshold: float):
     return run
 
 
-def _pair_places(starts: np.ndarray, ends: np.ndarray, most: int = 1 << 18):
+def _pair_places(starts: np.ndarray, ends: np.ndarray, most: int = 1 << 16):
     """Index pairs within each of the ranges, some at a time."""
     ends_of = np.repeat(ends, ends - starts)
     rows = np.concatenate([np.arange(a, b) for a, b in zip(starts, ends)]) if len(starts) else starts
@@ -283,8 +283,8 @@ def _reaches(common, size, other_size, threshold: float):
 
 def _sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
     """Sorted distinct shingles of each packed text."""
-    texts, out = decompressed(column), []
-    for _, _, data, offsets in slices(texts):
+    out = []
+    for _, _, data, offsets in packed_slices(column):
         key, who = _shingles(Words(data, offsets, lower=True), shingle)
         out += np.split(key, np.searchsorted(who, np.arange(1, len(offsets) - 1)))
     return out

@@ -17,7 +17,7 @@ and travel under keys of their own. So a passage that is in every document sends
 to one task, not one row per document.
 
 Defined results: a null text has no words; an empty text stays empty; rows of a null id count as
-last; rows that share an id are ordered by their texts, and of fully repeated rows all but one lose
+last; rows that share an id are ordered by a hash of their texts, and of fully repeated rows all but one lose
 their windows; an empty table gives an empty one; other columns are ignored.
 """
 
@@ -27,10 +27,11 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.words import Words, compressed, decompressed, mix, slices, windows
+from weekloom.llm.words import Words, compressed, mix, packed_slices, windows
 from weekloom.llm.storage import landed
 
 #: Perfect difference sets by period.
@@ -59,9 +60,8 @@ def _anchors(window: int):
     def run(batches):
         for batch in batches:
             rows = batch.column("row").to_numpy()
-            texts = decompressed(batch.column("packed"))
             keys, owners, places = [], [], []
-            for first, _, data, offsets in slices(texts):
+            for first, _, data, offsets in packed_slices(batch.column("packed")):
                 words = Words(data, offsets)
                 at = words.places(length)
                 owner = words.owners[at]
@@ -119,11 +119,11 @@ def _windows(window: int):
     def run(batches):
         for batch in batches:
             rows = batch.column("row").to_numpy()
-            texts, places = decompressed(batch.column("packed")), batch.column("places")
+            places = batch.column("places")
             at_offsets = places.offsets.to_numpy() - places.offsets[0].as_py()
             at_values = places.flatten().to_numpy()
             out = []
-            for first, last, data, offsets in slices(texts):
+            for first, last, data, offsets in packed_slices(batch.column("packed")):
                 words = Words(data, offsets)
                 n = len(words)
                 base = np.repeat(words.bounds[:-1], np.diff(at_offsets[first : last + 1]))
@@ -180,10 +180,10 @@ def _repeated_windows(batches):
 def _kept(window: int):
     def run(batches):
         for batch in batches:
-            texts, places = decompressed(batch.column("packed")), batch.column("places")
+            unpack = zstandard.ZstdDecompressor().decompress
             totals, removed, kept = [], [], []
-            for text, at in zip(texts, places):
-                words = text.as_py().split()
+            for packed, at in zip(batch.column("packed"), batch.column("places")):
+                words = unpack(packed.as_py()).split() if packed.is_valid else []
                 totals.append(len(words))
                 gone = 0
                 if at.is_valid:
@@ -219,8 +219,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
     no repeated window covers, joined by single spaces."""
     # Rows numbered in the order of their ids: what has the smaller number starts earlier.
     sent = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), compressed(F.col(f"`{text_col}`")).alias("packed"))
-    in_order = (F.col("doc_id").asc_nulls_last(), F.col("packed"))
-    sent = sent.repartitionByRange(*in_order).sortWithinPartitions(*in_order)
+    in_order = (F.col("doc_id").asc_nulls_last(), F.col("digest"))
+    sent = sent.withColumn("digest", F.xxhash64("packed"))
+    sent = sent.repartitionByRange(*in_order).sortWithinPartitions(*in_order, "packed").drop("digest")
     rows = landed(sent.withColumn("row", F.monotonically_increasing_id()), "substring-rows")
     around = landed(_gathered(_repeats_of_anchors(rows, window)), "substring-anchors")
     repeats = landed(_gathered(_repeats_of_windows(rows, around, window)), "substring-windows")

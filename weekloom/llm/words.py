@@ -17,7 +17,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType
 
 #: Bytes of text that are turned into arrays at once (a single longer text is one slice).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _BYTES = np.arange(256)
 #: ``[^\x20\x09-\x0D]+``
@@ -148,6 +148,27 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         first = last
 
 
+def packed_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """As ``slices``, of texts that ``compressed`` packed; a slice at a time is unpacked."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    first, parts, size = 0, [], 0
+    for low in range(0, len(column), 256):
+        for packed in column.slice(low, 256).to_pylist():
+            text = b"" if packed is None else unpack(packed)
+            if parts and size + len(text) > limit:
+                yield first, first + len(parts), *_joined(parts)
+                first, parts, size = first + len(parts), [], 0
+            parts.append(text)
+            size += len(text)
+    if parts:
+        yield first, first + len(parts), *_joined(parts)
+
+
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    return np.frombuffer(b"".join(texts), np.uint8), offsets
+
+
 def code_points(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Number of characters of each text."""
     return sums_between((data & 0xC0) != 0x80, offsets)
