@@ -1,9 +1,9 @@
 import pytest
-from compare import differences, oracle, unwanted_in_plan
-
 from __spark_entry__ import oracle_sql, queries
+from compare import differences, oracle, unwanted_in_plan
 
-QUERIES, SQL = queries(), oracle_sql()
+from weekloom.plans.catalog import QUERIES
+from weekloom.plans.catalog_sql import SQL
 
 
 @pytest.fixture(scope="module")
@@ -11,15 +11,13 @@ def connection(small):
     return oracle(small)
 
 
-def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_its_sql():
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, small, connection, name):
     result = QUERIES[name](spark, small)
     assert unwanted_in_plan(result) == []
-    if name in SQL:
-        assert differences(result, connection, SQL[name]) == []
-    else:
-        assert result.count() > 0
+    assert differences(result, connection, SQL[name]) == []

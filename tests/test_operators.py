@@ -414,3 +414,71 @@ def test_clean_in_the_usual_order(spark):
     # Equal once the id is gone; untidy text is not equal yet when duplicates are dropped.
     assert [tuple(r) for r in clean(df).collect()] == [("1/1/2024", "a", "p", 1.0)] * 2
     assert clean(df, dedup_keys=["Invoice Date"]).count() == 1
+
+
+# Round 2: exact caps, reports without rows, rejects, solvers
+
+
+def test_capping_keeps_types_and_digits(spark):
+    import decimal
+
+    rows = [(decimal.Decimal("12345678901234.5678"), 2**53 + 1, 1.5), (decimal.Decimal("1.0000"), 5, None), (None, None, 900.0)]
+    df = spark.createDataFrame(rows, "d decimal(18,4), i bigint, f float")
+    capped = outliers.cap_outliers(df, {"d": (0.0, 1e16), "i": (6.5, 1e30), "f": (2.0, 100.25)})
+    assert capped.schema == df.schema
+    got = capped.collect()
+    assert [r.d for r in got] == [r[0] for r in rows]
+    assert [r.i for r in got] == [2**53 + 1, 7, None]
+    assert [r.f for r in got] == [2.0, None, 100.25]
+    assert outliers.cap_outliers(df, {"d": (0.0, 99.9)}).first().d == decimal.Decimal("99.9")
+
+
+def test_reports_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "`Invoice Date` date, City string, `Product Category` string, `Total Sales` decimal(18,4)")
+    checked = schema.type_check(empty, quality.expected_types())
+    assert all(r.ok and r.rejected == 0 and r.expected == r.actual for r in checked.collect())
+    assert profile.overview(empty).first().names.startswith("Invoice Date")
+    report = quality.quality_report(empty).collect()
+    assert {r.status for r in report if r.check == "type differs"} == {"ok"}
+    assert outliers.outlier_report(empty, {"Total Sales": (0.0, 1.0)}).first().lower == 0.0
+
+
+def test_bare_year_is_no_date(spark):
+    rows = [("2024",), ("2024-03-05",), ("3/5/2024",), ("2024-03",), (None,)]
+    df = spark.createDataFrame(rows, "d string")
+    got = [r[0] for r in df.select(dates.as_date(F.col("d"), df.schema["d"].dataType)).collect()]
+    assert [g is not None for g in got] == [False, True, True, False, False]
+
+
+def test_text_sales_are_cast_before_they_are_filled(spark):
+    from weekloom.columns import SalesColumns
+    from weekloom.plans.clean import clean
+
+    names = SalesColumns("d", "c", "k", "s", "w")
+    rows = [("1/1/2024", c, k, "n/a" if i == 3 else None if i == 5 else str(10 * i)) for i, (c, k) in enumerate([("a", "x"), ("b", "x"), ("a", "y"), ("b", "y")] * 3)]
+    df = spark.createDataFrame(rows, "d string, c string, k string, s string")
+    cleaned = clean(df, names, [])
+    assert cleaned.where("s is null").count() == 0 and dict(cleaned.dtypes)["s"] == "decimal(18,4)"
+    rejected = {(r.check, r.subject): r.value for r in quality.rejects(df, names).collect()}
+    assert rejected == {("rejected", "d"): 0, ("rejected", "s"): 1, ("rounded", "s"): 0}
+
+
+def test_solver_has_stated_limits(spark):
+    df = spark.range(5_000).select(F.col("id").cast("string").alias("c"), F.col("id").cast("double").alias("s"))
+    with pytest.raises(ValueError, match="5000 categories"):
+        regression.fit_sales_model(df, "s", ["c"])
+    with pytest.raises(RuntimeError, match="did not converge"):
+        regression.fit_sales_model(df.limit(300), "s", ["c"], solver="l-bfgs", max_iter=1)
+
+
+def test_densified_days_stay_days(spark):
+    rows = [("a", f"2024-01-0{d}", float(d)) for d in (1, 2, 5)]
+    df = spark.createDataFrame(rows, "g string, day string, v double").withColumn("day", F.col("day").cast("date"))
+    got = features.run_all(df, "g", "v", [1, 2], [2], "day", densify=True, grain="day").orderBy("day").collect()
+    assert [str(r.day)[-2:] for r in got] == ["01", "02", "03", "04", "05"] and [r.v_lag1 for r in got][1:3] == [1.0, 2.0]
+
+
+def test_top_values(spark):
+    df = spark.range(1_000).select(F.least(F.col("id") % 7, F.lit(3)).alias("a"), F.col("id").alias("b"))
+    got = profile.value_counts(df, top=2).orderBy("column", F.desc("n"), "value").collect()
+    assert [(r.column, r.value) for r in got] == [("a", "3"), ("a", "0"), ("b", "0"), ("b", "1")]

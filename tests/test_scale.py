@@ -12,8 +12,7 @@ from compare import plan
 from pyspark.sql import functions as F
 
 from weekloom.operators import aggregate, dedup, features, missing, outliers, spine
-from weekloom.operators.forward_fill import forward_fill
-from weekloom.operators.ordering import cut_evenly, order_key
+from weekloom.operators.forward_fill import forward_fill, in_ranges
 from weekloom.plans.views import sales
 
 few = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -25,12 +24,12 @@ few = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthC
 def test_ranges_keep_the_order_and_are_even(spark):
     # A third of the rows share their first key column.
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).alias("a"), "id")
-    cuts = cut_evenly(df, ["a", "id"], 16)
+    key = F.struct("a", "id")
     ranges = (
-        df.withColumn("r", cuts.range_of(order_key(["a", "id"])))
-        .groupBy("r")
-        .agg(F.count("*").alias("n"), F.min(order_key(["a", "id"])).alias("lo"), F.max(order_key(["a", "id"])).alias("hi"))
-        .orderBy("r")
+        in_ranges(df, ["a", "id"], 16)
+        .groupBy("__range")
+        .agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+        .orderBy("__range")
         .collect()
     )
     assert len(ranges) == 16
@@ -38,12 +37,19 @@ def test_ranges_keep_the_order_and_are_even(spark):
     assert max(r.n for r in ranges) < 3 * 30_000 / 16
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 3, 7, 8, 40])
-def test_range_search_counts_the_cuts_below(spark, ranges):
-    df = spark.range(200)
-    cuts = cut_evenly(df, ["id"], ranges)
-    found = [r.r for r in df.orderBy("id").select(cuts.range_of(order_key(["id"])).alias("r")).collect()]
-    assert found == sorted(found) and found[0] == 0 and found[-1] == cuts.count
+def test_places_follow_the_order(spark):
+    df = spark.range(5_000).select(F.when(F.col("id") % 50 != 0, F.pmod(F.xxhash64("id"), F.lit(997))).alias("a"), "id")
+    rows = in_ranges(df, ["a", "id"], 300).orderBy("__place").collect()
+    keys = [(r.a is not None, r.a or 0, r.id) for r in rows]
+    assert keys == sorted(keys) and len({r["__place"] for r in rows}) == 5_000
+
+
+def test_forward_fill_plan_sorts_no_rows_to_aggregate(spark):
+    df = spark.range(1_000).select("id", F.when(F.col("id") % 9 == 0, F.col("id")).alias("v"))
+    lines = plan(forward_fill(df, "v", ["id"], ranges=20)).splitlines()
+    below = [lines[k:] for k, line in enumerate(lines) if "SortAggregate" in line]
+    # Only the three picked rows of each range may be sorted; the scan of all of them may not.
+    assert not any("SortAggregate" in line and "__place" in line for line in lines), below
 
 
 # Forward fill

@@ -84,11 +84,27 @@ def test_a_gap_is_not_filled_again(spark, tmp_path):
 def test_unfinished_version_is_skipped_but_keeps_its_number(spark, tmp_path):
     folder = str(tmp_path)
     export_version(frame(spark, 1), folder, "x")
-    (tmp_path / "x_v2.parquet").mkdir()
+    (tmp_path / "x_v2.parquet" / "_temporary").mkdir(parents=True)
     assert read_latest(spark, folder, "x").count() == 1
     assert next_version(spark, folder, "x") == 3
 
 
+def test_version_without_marker_is_an_error_and_no_older_one(spark, tmp_path):
+    folder = str(tmp_path)
+    export_version(frame(spark, 1), folder, "x")
+    (tmp_path / "x_v2.parquet").mkdir()
+    with pytest.raises(RuntimeError, match="_SUCCESS"):
+        read_latest(spark, folder, "x")
+
+
+def test_number_is_taken_whatever_the_file_type(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    export_version(frame(spark), folder, "x", "csv")
+    monkeypatch.setattr("weekloom.sources.versions.next_version", lambda *_: 1)
+    with pytest.raises(FileExistsError, match="another writer"):
+        export_version(frame(spark), folder, "x", "parquet")
+
+
 def test_single_csv_file_is_a_version(spark, tmp_path):
     (tmp_path / "main_data_v7.csv").write_text("n\n1\n")
     assert read_latest(spark, str(tmp_path), "main_data").collect()[0].n == 1
@@ -108,7 +124,7 @@ def test_exports(spark, tmp_path):
 def test_export_refuses_to_overwrite(spark, tmp_path, monkeypatch):
     folder = str(tmp_path)
     export_version(frame(spark), folder, "x")
-    monkeypatch.setattr("weekloom.sinks.export.next_version", lambda *_: 1)
+    monkeypatch.setattr("weekloom.sinks.export.reserve_version", lambda *_: 1)
     with pytest.raises(Exception, match="already exists"):
         export_version(frame(spark), folder, "x")
 

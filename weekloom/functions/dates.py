@@ -17,9 +17,10 @@ def parse_date(c: Column, fmt: str = DATE_FORMAT) -> Column:
 
 
 def as_date(c: Column, dtype: T.DataType | None = None, fmt: str = DATE_FORMAT) -> Column:
-    """Text is parsed; dates and timestamps are cast."""
+    """Text is parsed, in the format or as an ISO date with all its parts; dates and timestamps are cast."""
     if isinstance(dtype, T.StringType):
-        return F.coalesce(c.try_cast("date"), parse_date(c, fmt))
+        iso = F.when(c.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), c.try_cast("date"))
+        return F.coalesce(parse_date(c, fmt), iso)
     return c.cast("date")
 
 

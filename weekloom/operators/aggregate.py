@@ -61,6 +61,10 @@ def sales_summary(
     )
 
 
+# How the grains are called in names of columns and tables.
+GRAIN_NAMES = {"day": "Daily", "week": "Weekly", "month": "Monthly"}
+
+
 @dataclass(frozen=True)
 class ForecastTables:
     city_weekly: DataFrame
@@ -87,8 +91,8 @@ def forecast_tables(
     city = _summary_of_cells(cells, columns.city, columns.week)
     category = _summary_of_cells(cells, columns.category, columns.week)
     return ForecastTables(
-        _sales_only(city, columns.city, columns.week, "City Weekly Sales"),
-        _sales_only(category, columns.category, columns.week, "Category Weekly Sales"),
+        _sales_only(city, columns.city, columns.week, f"City {GRAIN_NAMES[grain]} Sales"),
+        _sales_only(category, columns.category, columns.week, f"Category {GRAIN_NAMES[grain]} Sales"),
         city,
         category,
     )

@@ -110,14 +110,15 @@ def run_all(
     windows: Sequence[int] = WINDOWS,
     date: str = RETAIL.week,
     densify: bool = False,
+    grain: str = "week",
 ) -> DataFrame:
     """Calendar, lag, rolling and trend features.
 
-    Lags count rows. ``densify`` adds the missing weeks first, so that one row
-    earlier is also one week earlier.
+    Lags count rows. ``densify`` adds the missing periods of ``grain`` first, so that
+    one row earlier is also one period earlier.
     """
     if densify:
-        df = ensure_continuity(df, date, [group])
+        df = ensure_continuity(df, date, [group], grain)
     return (
         df.transform(add_date_parts, date)
         .transform(add_lag_features, group, target, lags, date)

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekloom.operators.ordering import cut_evenly, order_key
 from weekloom.operators.schema import quoted, require_columns
+from weekloom.shared import materialise
 
-_RANGE = "__range"
-_CARRY = "__carry"
+ROWS_PER_RANGE = 2_000_000
+_RANGE, _PLACE, _CARRY = "__range", "__place", "__carry"
 
 
 def forward_fill(
@@ -25,60 +25,75 @@ def forward_fill(
     """Fill nulls with the last value before them.
 
     ``order_by`` must be unique, within ``partition_by`` if that is given: a
-    distributed table has no physical row order to fall back on. The table is cut
-    into ranges of (partition, order), whichever key a row has, so one hot
-    partition is spread over many tasks like the rest. Each range is filled by
-    itself; its leading nulls take the value carried over from earlier ranges,
-    for which one row per range is enough.
+    distributed table has no physical row order to fall back on. The table is
+    sorted into ranges of (partition, order), whichever key a row has, so one hot
+    partition is spread over many tasks like the rest, and written once with each
+    row's place. Each range is filled by itself; its leading nulls take the value
+    carried over from earlier ranges, for which one row per range is enough.
     """
     if not order_by:
         raise ValueError("forward fill needs columns that order the rows")
     require_columns(df, [column, *order_by, *partition_by])
-    keys = [*partition_by, *order_by]
-    cuts = cut_evenly(df, keys, ranges, rows)
-    cut = df.withColumn(_RANGE, cuts.range_of(order_key(keys)))
-
+    ordered = in_ranges(df, [*partition_by, *order_by], ranges, rows)
     window = (
         Window.partitionBy(_RANGE, *[quoted(c) for c in partition_by])
-        .orderBy(*[quoted(c) for c in order_by])
+        .orderBy(_PLACE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    filled = ordered.withColumn(column, F.last(quoted(column), ignorenulls=True).over(window))
+    carried = _carried(ordered, column, partition_by)
     carry = F.when(_group(partition_by) == F.col(f"{_CARRY}.group"), F.col(f"{_CARRY}.value"))
     return (
-        # One row per range, and there are at most MOST_RANGES ranges.
-        cut.join(F.broadcast(_carried(cut, column, keys, partition_by)), _RANGE, "left")
-        .withColumn(
-            column,
-            F.coalesce(F.last(quoted(column), ignorenulls=True).over(window), carry),
-        )
+        filled.join(carried, _RANGE, "left")
+        .withColumn(column, F.coalesce(F.col(quoted(column)), carry))
         .select(*[quoted(c) for c in df.columns])
     )
 
 
+def in_ranges(
+    df: DataFrame, keys: Sequence[str], ranges: int | None = None, rows: int | None = None
+) -> DataFrame:
+    """The rows, sorted by ``keys`` into consecutive ranges and stored with range and place.
+
+    A place is a number that grows with the order. Both are written with the row,
+    so a repeated task can't number it differently.
+    """
+    if ranges is None:
+        rows = df.count() if rows is None else rows
+        ranges = max(df.sparkSession.sparkContext.defaultParallelism, rows // ROWS_PER_RANGE)
+    order = [F.col(quoted(c)).asc_nulls_first() for c in keys]
+    cut = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return materialise(
+        cut.withColumns({_RANGE: F.spark_partition_id(), _PLACE: F.monotonically_increasing_id()}), "ranges"
+    )
+
+
 def _group(partition_by: Sequence[str]):
     """The partition a row belongs to. Structs compare null fields as equal."""
     return F.struct(F.lit(0), *[F.col(quoted(c)) for c in partition_by])
 
 
-def _carried(cut: DataFrame, column: str, keys: Sequence[str], partition_by: Sequence[str]):
+def _carried(ordered: DataFrame, column: str, partition_by: Sequence[str]):
     """For each range, the value that its first partition brings from earlier ranges."""
-    group = _group(partition_by)
-    edges = cut.groupBy(_RANGE).agg(
-        F.min(group).alias("first"),
-        F.max(group).alias("last"),
-        F.max(
-            F.when(
-                F.col(quoted(column)).isNotNull(),
-                F.struct(order_key(keys), group.alias("group"), F.col(quoted(column)).alias("value")),
-            )
-        ).alias("top"),
+    filled = F.when(F.col(quoted(column)).isNotNull(), F.col(_PLACE))
+    places = ordered.groupBy(_RANGE).agg(
+        F.min(_PLACE).alias("first"), F.max(_PLACE).alias("last"), F.max(filled).alias("top")
     )
+    # At most three rows of each range are looked at again.
+    wanted = places.select(F.explode(F.array_distinct(F.array("first", "last", "top"))).alias(_PLACE))
+    rows = ordered.select(_PLACE, _group(partition_by).alias("group"), F.col(quoted(column)).alias("value"))
+    picked = rows.join(wanted, _PLACE)
+
+    def at(edge: str) -> DataFrame:
+        return picked.select(F.col(_PLACE).alias(edge), F.struct("group", "value").alias(f"at_{edge}"))
+
+    edges = places.join(at("first"), "first").join(at("last"), "last").join(at("top"), "top", "left")
     # A range asks on behalf of its first partition and offers for its last one.
-    asks = F.struct(F.col("first").alias("group"), F.lit(0).alias("offer"), F.lit(None).alias("value"))
+    asks = F.struct(F.col("at_first.group").alias("group"), F.lit(0).alias("offer"), F.lit(None).alias("value"))
     offers = F.struct(
-        F.col("last").alias("group"),
+        F.col("at_last.group").alias("group"),
         F.lit(1).alias("offer"),
-        F.when(F.col("top.group") == F.col("last"), F.col("top.value")).alias("value"),
+        F.when(F.col("at_top.group") == F.col("at_last.group"), F.col("at_top.value")).alias("value"),
     )
     before = (
         Window.partitionBy("group")

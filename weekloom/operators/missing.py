@@ -125,20 +125,27 @@ def apply_policy(
     policy = default_policy() if policy is None else policy
     shares = _shares(df, [c for c in df.columns if c in policy], policy)
     found = _modes_due(df, shares, policy)
+    # The same rows without the forward fills, which a model on other columns need not repeat.
+    plain, forward = df, set()
     for column, share in shares.items():
         rule = policy[column]
         if not share.nulls:
             continue
         if isinstance(rule, DropOrForwardFill):
             if share.percent < rule.threshold:
-                df = drop_null_rows(df, [column])
+                df, plain = drop_null_rows(df, [column]), drop_null_rows(plain, [column])
             else:
                 df = forward_fill(df, column, order_by, rows=share.rows)
+                forward.add(column)
         elif isinstance(rule, ConstantOrMode):
             value = rule.constant if share.percent > rule.threshold else found.get(column)
-            df = df if value is None else fill_constant(df, column, value)
+            if value is not None:
+                df, plain = fill_constant(df, column, value), fill_constant(plain, column, value)
         elif share.nulls < share.rows:
-            df = fill_with_model(df, fit_sales_model(df, column, rule.features), column)
+            base = df if forward & {column, *rule.features} else plain
+            model = fit_sales_model(base, column, rule.features)
+            df = fill_with_model(df, model, column)
+            plain = fill_with_model(plain, model, column)
     return df
 
 

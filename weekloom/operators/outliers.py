@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weekloom.operators.schema import aggregate_columns, numeric_columns, one_row_per, quoted
+from weekloom.shared import materialise
 
+# Quartiles and the width of the fences.
 QUARTILES = (0.25, 0.75)
 FENCE_WIDTH = 1.5
 ZONES = 1024
@@ -100,6 +101,8 @@ def quantiles_exact(
         )
         .where(F.col("value").isNotNull())
     )
+    # Few values: written once, read for the zones and for the ranks within them.
+    cells = materialise(cells, "quantile-cells")
 
     def of_bracket(values: list) -> Column:
         return F.get(F.array(*[F.lit(v) for v in values]), F.col("b"))
@@ -142,11 +145,17 @@ def quantiles_exact(
 
 
 def _brackets(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int, widened: int = 1
 ) -> list[_Bracket]:
-    margin = 2 / accuracy
+    """A bracket per column and probability; where the sketch missed, it is tried again more widely."""
+    margin = min(1.0, 2 * widened / accuracy)
     bounds = [min(max(p + m, 0.0), 1.0) for p in probabilities for m in (-margin, margin)]
-    sketch = df.agg(*[F.percentile_approx(_double(c), bounds, accuracy) for c in columns]).first()
+    if margin < 1:
+        sketch = df.agg(*[F.percentile_approx(_double(c), bounds, accuracy) for c in columns]).first()
+    else:
+        # So wide a bracket holds all values; its ends need no sketch.
+        ends = df.agg(*[F.array(F.min(_double(c)), F.max(_double(c))) for c in columns]).first()
+        sketch = [e * len(probabilities) if e[0] is not None else None for e in ends]
     found = [
         (c, float(p), *sketch[i][2 * k : 2 * k + 2])
         for i, c in enumerate(columns)
@@ -161,20 +170,20 @@ def _brackets(
                 F.count(_double(c)),
                 F.count_if(_double(c) < low),
                 F.count_if(_double(c) <= high),
-                F.min(_double(c)),
-                F.max(_double(c)),
             )
             for c, _, low, high in found
         ]
     ).first()
-    brackets = []
-    for (c, p, low, high), (rows, below, upto, smallest, largest) in zip(found, counts):
+    brackets, missed = [], []
+    for (c, p, low, high), (rows, below, upto) in zip(found, counts):
         position = p * (rows - 1)
         first, last = math.floor(position), math.ceil(position)
-        if not below <= first <= last < upto:
-            # The sketch missed, against its promise: look at all values instead.
-            low, high, below = smallest, largest, 0
-        brackets.append(_Bracket(c, p, low, high, first - below, last - below, position - first))
+        if below <= first <= last < upto:
+            brackets.append(_Bracket(c, p, low, high, first - below, last - below, position - first))
+        else:
+            missed.append((c, p))
+    for c, p in missed:
+        brackets += _brackets(df, [c], [p], accuracy, widened * 32)
     return brackets
 
 
@@ -208,11 +217,25 @@ def collect_fences(fences: DataFrame) -> dict[str, tuple[float, float]]:
     }
 
 
-def _fence(value: float, dtype: T.DataType) -> Column:
-    """A decimal column is compared with, and capped to, an exact fence."""
+#: Whole-number types and the largest value of each.
+_WHOLE = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31, T.LongType: 2**63}
+
+
+def _fences(bounds: tuple[float, float], dtype: T.DataType) -> tuple[Column, Column]:
+    """Both fences in a form that compares exactly with the column.
+
+    Between whole numbers the fence is the last whole number inside; a decimal has
+    an exact fence, which is null, and so met by no value, beyond 30 digits.
+    """
+    lower, upper = bounds
+    if type(dtype) in _WHOLE:
+        most = _WHOLE[type(dtype)]
+        lower = min(max(math.ceil(lower), -most), most - 1) if math.isfinite(lower) else -most
+        upper = min(max(math.floor(upper), -most), most - 1) if math.isfinite(upper) else most - 1
+        return F.lit(lower).cast(dtype), F.lit(upper).cast(dtype)
     if isinstance(dtype, T.DecimalType):
-        return F.lit(Decimal(repr(value))).cast("decimal(22,8)")
-    return F.lit(value)
+        return tuple(F.lit(repr(bound)).try_cast("decimal(38,8)") for bound in bounds)
+    return F.lit(lower), F.lit(upper)
 
 
 def is_outlier(c: Column, lower: Column, upper: Column) -> Column:
@@ -221,26 +244,23 @@ def is_outlier(c: Column, lower: Column, upper: Column) -> Column:
 
 def outlier_report(df: DataFrame, fences: dict[str, tuple[float, float]]) -> DataFrame:
     """Fences and number of values outside them, all columns in one pass."""
-    measures = {}
-    for column, bounds in fences.items():
-        lower, upper = (_fence(b, df.schema[column].dataType) for b in bounds)
-        measures[column] = {
-            "lower": F.any_value(lower.cast("double")),
-            "upper": F.any_value(upper.cast("double")),
-            "outliers": F.count_if(is_outlier(F.col(quoted(column)), lower, upper)),
-        }
-    return aggregate_columns(df, measures)
+    counts, bounds = {}, {}
+    for column, (low, high) in fences.items():
+        lower, upper = _fences((low, high), df.schema[column].dataType)
+        counts[column] = {"outliers": F.count_if(is_outlier(F.col(quoted(column)), lower, upper))}
+        bounds[column] = {"lower": F.lit(float(low)), "upper": F.lit(float(high))}
+    return aggregate_columns(df, counts, constants=bounds).select("column", "lower", "upper", "outliers")
 
 
 def cap_outliers(df: DataFrame, fences: dict[str, tuple[float, float]]) -> DataFrame:
-    """Clamp each column to its fences; nulls stay null."""
+    """Clamp each column to its fences; nulls stay null and every column keeps its type."""
     capped = {}
     for column, bounds in fences.items():
-        value = F.col(quoted(column))
-        lower, upper = (_fence(b, df.schema[column].dataType) for b in bounds)
-        if not isinstance(df.schema[column].dataType, T.DecimalType):
-            value = value.cast("double")
-        capped[column] = F.when(value < lower, lower).when(value > upper, upper).otherwise(value)
+        value, dtype = F.col(quoted(column)), df.schema[column].dataType
+        lower, upper = _fences(bounds, dtype)
+        capped[column] = (
+            F.when(value < lower, lower.try_cast(dtype)).when(value > upper, upper.try_cast(dtype)).otherwise(value)
+        )
     return df.withColumns(capped)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.dedup import duplicate_counts
@@ -12,6 +12,8 @@ from weekloom.operators.missing import null_counts
 from weekloom.operators.outliers import quantiles_approx, quantiles_exact
 from weekloom.operators.schema import aggregate_columns, numeric_columns, quoted, schema_report
 
+#: Parts in which the values of a column are ranked first.
+TOP_PARTS = 512
 SUMMARY_QUANTILES = (0.25, 0.5, 0.75)
 _SUMMARY_SCHEMA = (
     "column string, count bigint, mean double, stddev double, min double, "
@@ -21,10 +23,8 @@ _SUMMARY_SCHEMA = (
 
 def overview(df: DataFrame) -> DataFrame:
     """Number of rows and columns, and the column names."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.any_value(F.lit(len(df.columns))).alias("columns"),
-        F.any_value(F.lit(", ".join(df.columns))).alias("names"),
+    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(len(df.columns)).alias("columns"), F.lit(", ".join(df.columns)).alias("names")
     )
 
 
@@ -78,16 +78,30 @@ def text_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
-def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """How often each value of each column occurs, nulls included; one scan for all columns."""
+def value_counts(
+    df: DataFrame, columns: Sequence[str] | None = None, top: int | None = None
+) -> DataFrame:
+    """How often each value of each column occurs, nulls included; one scan for all columns.
+
+    ``top`` keeps that many of each column, the most frequent ones. They are ranked
+    per task before they are ranked per column, so ids never meet in one task.
+    """
     columns = df.columns if columns is None else list(columns)
     texts = [F.col(quoted(c)).cast("string").alias(c) for c in columns]
-    return (
+    counts = (
         df.select(*texts)
         .unpivot([], [quoted(c) for c in columns], "column", "value")
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if top is None:
+        return counts
+    order = [F.desc("n"), F.col("value")]
+    part = F.pmod(F.xxhash64("value"), F.lit(TOP_PARTS))
+    local = F.row_number().over(Window.partitionBy("column", part).orderBy(*order))
+    ranked = F.row_number().over(Window.partitionBy("column").orderBy(*order))
+    few = counts.withColumn("__rank", local).where(F.col("__rank") <= top)
+    return few.withColumn("__rank", ranked).where(F.col("__rank") <= top).drop("__rank")
 
 
 def most_frequent_first(counts: DataFrame) -> DataFrame:
@@ -107,13 +121,14 @@ def distinct_counts(
     return aggregate_columns(df, {c: {"n_distinct": count(F.col(quoted(c)))} for c in columns})
 
 
+_value_counts = value_counts
 _PARTS = {
     "schema": {"schema": schema_report},
     "overview": {"overview": overview},
     "summary": {"summary": numeric_summary, "text_summary": text_summary},
     "nulls": {"nulls": null_counts},
     "duplicates": {"duplicates": duplicate_counts},
-    "value_counts": {"value_counts": lambda df: most_frequent_first(value_counts(df))},
+    "value_counts": {"value_counts": lambda df: value_counts(df)},
 }
 
 
@@ -126,8 +141,13 @@ def explore(
     duplicates: bool = False,
     value_counts: bool = False,
     all: bool = False,
+    top: int | None = 20,
 ) -> dict[str, DataFrame]:
-    """The chosen parts of the profile, by name."""
+    """The chosen parts of the profile, by name.
+
+    Of each column the ``top`` most frequent values are counted, in that order; with
+    ``None`` all of them, unsorted.
+    """
     flags = {
         "schema": schema,
         "overview": overview,
@@ -136,9 +156,12 @@ def explore(
         "duplicates": duplicates,
         "value_counts": value_counts,
     }
-    return {
+    chosen = {
         name: build(df)
         for flag, parts in _PARTS.items()
         if all or flags[flag]
         for name, build in parts.items()
     }
+    if "value_counts" in chosen and top is not None:
+        chosen["value_counts"] = most_frequent_first(_value_counts(df, top=top))
+    return chosen

@@ -12,7 +12,8 @@ from weekloom.columns import RETAIL, SalesColumns
 from weekloom.operators.dedup import duplicate_counts, duplicate_groups
 from weekloom.operators.profile import distinct_values
 from weekloom.operators.ranking import first_dates, random_sample
-from weekloom.operators.schema import one_row_per, quoted
+from weekloom.functions.dates import as_date
+from weekloom.operators.schema import one_row_per, quoted, rejected
 from weekloom.operators.spine import missing_periods
 
 
@@ -32,33 +33,59 @@ def quality_report(
 ) -> DataFrame:
     """All checks as rows (check, subject, value, status); status is ``info`` where nothing is tested.
 
-    Nulls, types, range, dates and distinct values share one pass; duplicates and
-    missing weeks need a shuffle of their own.
+    Nulls, types and range share one pass; distinct values, duplicates and missing
+    weeks need a shuffle of their own.
     """
     types = expected_types(columns) if types is None else types
     rows = {("rows", "table"): F.count(F.lit(1))}
     for c in df.columns:
         rows["nulls", c] = F.count(F.lit(1)) - F.count(quoted(c))
     rows["not positive", columns.sales] = F.count_if(F.col(quoted(columns.sales)) <= 0)
-    for c, t in types.items():
-        differs = int(df.schema[c].dataType.simpleString() != t)
-        rows["type differs", c] = F.any_value(F.lit(differs)).cast("bigint")
-    for c in (columns.city, columns.category):
-        rows["distinct values", c] = F.count_distinct(F.col(quoted(c)))
+    types_differ = [
+        _check("type differs", c, F.lit(int(df.schema[c].dataType.simpleString() != t)).cast("bigint"))
+        for c, t in types.items()
+    ]
     names = {key: f"check_{i}" for i, key in enumerate(rows)}
-    one_pass = df.agg(*[rows[key].alias(name) for key, name in names.items()]).select(
-        one_row_per({name: _check(*key, F.col(name)) for key, name in names.items()}, "label")
-    )
+    counted = {name: _check(*key, F.col(name)) for key, name in names.items()}
+    counted |= {f"type_{i}": check for i, check in enumerate(types_differ)}
+    one_pass = df.agg(*[rows[key].alias(name) for key, name in names.items()]).select(one_row_per(counted, "label"))
+    # Few combinations of categories: their distinct values are counted without copies of every row.
+    groups = df.groupBy(*[quoted(c) for c in (columns.city, columns.category)]).agg(F.lit(1).alias("one"))
+    distinct = {
+        c: _check("distinct values", c, F.col(f"n_{i}")) for i, c in enumerate((columns.city, columns.category))
+    }
+    distinct_values_of = groups.agg(
+        *[F.count_distinct(F.col(quoted(c))).alias(f"n_{i}") for i, c in enumerate((columns.city, columns.category))]
+    ).select(one_row_per(distinct, "label"))
     surplus = _check("surplus duplicates", "table", F.col("surplus_rows"))
     gaps = _check("missing weeks", columns.date, F.col("weeks"))
     missing = missing_periods(df, columns.date).agg(F.count(F.lit(1)).alias("weeks"))
     return (
         one_pass.drop("label")
+        .unionByName(distinct_values_of.drop("label"))
         .unionByName(duplicate_counts(df).select(*[c.alias(n) for n, c in surplus.items()]))
         .unionByName(missing.select(*[c.alias(n) for n, c in gaps.items()]))
     )
 
 
+def rejects(raw: DataFrame, columns: SalesColumns = RETAIL) -> DataFrame:
+    """Values of the raw rows that coercion loses, as rows of a quality report: dates and sales
+    that can't be read, and sales that are rounded. One pass."""
+    day = as_date(F.col(quoted(columns.date)), raw.schema[columns.date].dataType)
+    sales, kind = F.col(quoted(columns.sales)), columns.required[columns.sales]
+    exact, kept = sales.try_cast("decimal(38,18)"), sales.try_cast(kind)
+    rows = {
+        ("rejected", columns.date): rejected(F.col(quoted(columns.date)), day),
+        ("rejected", columns.sales): rejected(sales, kind),
+        ("rounded", columns.sales): F.count_if(exact != kept.cast("decimal(38,18)")),
+    }
+    names = {key: f"check_{i}" for i, key in enumerate(rows)}
+    counted = raw.agg(*[rows[key].alias(name) for key, name in names.items()])
+    return counted.select(
+        one_row_per({name: _check(*key, F.col(name)) for key, name in names.items()}, "label")
+    ).drop("label")
+
+
 def _check(check: str, subject: str, value: Column) -> dict[str, Column]:
     """A value that should be zero, unless it only informs."""
     status = F.when(value == 0, "ok").otherwise("failed")

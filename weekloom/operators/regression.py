@@ -15,6 +15,8 @@ from weekloom.functions.numbers import average
 from weekloom.operators.schema import quoted
 from weekloom.shared import materialise
 
+#: Categories of all features together, by solver.
+NORMAL_LIMIT, LABEL_LIMIT = 4_000, 1_000_000
 _LABEL, _WEIGHT, _GUESS = "__label", "__weight", "__guess"
 
 
@@ -22,12 +24,18 @@ def fit_sales_model(
     df: DataFrame,
     target: str = RETAIL.sales,
     features: Sequence[str] = (RETAIL.city, RETAIL.category),
+    solver: str = "normal",
+    max_iter: int = 1000,
 ) -> PipelineModel:
     """Least squares of ``target`` on the one-hot encoded ``features``.
 
     All rows of one combination of categories share a prediction, so the mean of
     a combination, weighted by its rows, carries all the fit needs. The solver
     iterates over that small table rather than over the sales.
+
+    The normal equations take up to ``NORMAL_LIMIT`` categories together; for more,
+    ask for the iterative solver, ``l-bfgs``, up to ``LABEL_LIMIT``, as labels are kept
+    on the driver and in each task. A solver that stops before it converges raises.
     """
     cells = materialise(
         df.where(F.col(quoted(target)).isNotNull())
@@ -38,10 +46,18 @@ def fit_sales_model(
         ),
         "sales-cells",
     )
-    return _stages(features).fit(cells)
+    sizes = cells.agg(*[F.count_distinct(F.col(quoted(c))) for c in features]).first()
+    limit = NORMAL_LIMIT if solver == "normal" else LABEL_LIMIT
+    if sum(sizes) > limit:
+        raise ValueError(f"{sum(sizes)} categories are too many for the solver {solver}: at most {limit}")
+    model = _stages(features, solver, max_iter).fit(cells)
+    iterations = model.stages[-1].summary.totalIterations
+    if iterations >= max_iter:
+        raise RuntimeError(f"the solver {solver} did not converge in {max_iter} iterations")
+    return model
 
 
-def _stages(features: Sequence[str]) -> Pipeline:
+def _stages(features: Sequence[str], solver: str, max_iter: int) -> Pipeline:
     indices = [f"__index_{i}" for i in range(len(features))]
     vectors = [f"__vector_{i}" for i in range(len(features))]
     return Pipeline(
@@ -55,8 +71,9 @@ def _stages(features: Sequence[str]) -> Pipeline:
                 labelCol=_LABEL,
                 weightCol=_WEIGHT,
                 predictionCol=_GUESS,
+                solver=solver,
                 tol=1e-12,
-                maxIter=1000,
+                maxIter=max_iter,
             ),
         ]
     )

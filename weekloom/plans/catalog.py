@@ -224,7 +224,12 @@ def distinct_counts(spark, folder):
 
 @query
 def distinct_counts_approx(spark, folder):
-    return profile.distinct_counts(sales(spark, folder, ("city", "category", "quantity")), approximate=True)
+    """Whether each estimate is within three standard errors (5 % each) of the number."""
+    rows = sales(spark, folder, ("city", "category", "quantity"))
+    found = profile.distinct_counts(rows, approximate=True).withColumnRenamed("n_distinct", "estimate")
+    joined = found.join(profile.distinct_counts(rows), "column")
+    close = F.abs(F.col("estimate") - F.col("n_distinct")) <= F.greatest(F.lit(1), 0.15 * F.col("n_distinct"))
+    return joined.select("column", close.alias("close"))
 
 
 @query
@@ -383,7 +388,17 @@ def quartiles_exact(spark, folder):
 
 @query
 def quartiles_approx(spark, folder):
-    return outliers.iqr_fences(sales(spark, folder, ("total_sales", "quantity")), method="approx")
+    """Whether each estimate's rank is off by no more than the accuracy allows, over all rows."""
+    rows = sales(spark, folder, ("total_sales", "quantity"))
+    found = outliers.quantiles_approx(rows, ["total_sales", "quantity"]).collect()
+    measures = {}
+    for r in found:
+        value, p = F.col(r["column"]).cast("double"), F.lit(r["p"])
+        # One row more, as ranks are whole numbers.
+        slack = 1 / outliers.APPROXIMATE_ACCURACY + 1 / F.count(F.lit(1))
+        below, upto = F.avg((value < r["value"]).cast("int")), F.avg((value <= r["value"]).cast("int"))
+        measures[f"{r['column']} {r['p']}"] = {"close": (below <= p + slack) & (upto >= p - slack)}
+    return schema.aggregate_columns(rows, measures, "quantile")
 
 
 def _values(spark, folder):
@@ -414,7 +429,7 @@ def cap_integer_outliers(spark, folder):
     return capped.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"),
         F.max("n_chars").alias("highest"),
-        total(F.col("n_chars").cast("decimal(22,8)")).alias("total"),
+        F.sum("n_chars").alias("total"),
     )
 
 
@@ -559,7 +574,7 @@ def most_frequent_values(spark, folder):
 @query
 def profile_all(spark, folder):
     rows = dirty(spark, folder, ["invoice_date", "city_hi", "category_hi", "quantity"])
-    parts = profile.explore(rows, all=True)
+    parts = profile.explore(rows, all=True, top=None)
     nulls = parts["nulls"].unpivot([], rows.columns, "subject", "value")
     flat = {
         "schema": parts["schema"].select(F.concat_ws(" ", "column", "type").alias("subject"), F.col("filled").alias("value")),
@@ -595,7 +610,16 @@ def head_by_week(spark, folder):
 
 @query
 def random_sample(spark, folder):
-    return ranking.random_sample(_facts(spark, folder), 10, seed=7)
+    """Size of a sample, how many of its rows are in the table, and whether its seed repeats it."""
+    rows = sales(spark, folder, ("invoice_id",))
+    sides = [ranking.random_sample(rows, 10, seed=7).withColumn("side", F.lit(side)) for side in ("a", "b")]
+    drawn = sides[0].unionByName(sides[1]).groupBy("invoice_id").pivot("side", ["a", "b"]).count()
+    known = rows.distinct().withColumn("known", F.lit(True))
+    return drawn.join(known, "invoice_id", "left").agg(
+        F.count("a").alias("n"),
+        F.count_if(F.col("known") & F.col("a").isNotNull()).alias("known"),
+        F.bool_and(F.col("a").eqNullSafe(F.col("b"))).alias("repeatable"),
+    )
 
 
 # Series
@@ -663,6 +687,16 @@ def _featured(spark, folder, grain, lags, windows):
     return _rounded(features.run_all(totals, "category", CATEGORY_SALES, lags, windows, WEEK))
 
 
+@query
+def features_on_every_day(spark, folder):
+    rows = sales(spark, folder, ("invoice_date", "category", "total_sales"))
+    totals = aggregate.sales_by_period(
+        rows, "category", "invoice_date", "total_sales", "day", WEEK, CATEGORY_SALES
+    )
+    dense = features.run_all(totals, "category", CATEGORY_SALES, [1, 2, 7], [2, 7], WEEK, densify=True, grain="day")
+    return _rounded(dense).drop("is_missing")
+
+
 @query
 def features_daily(spark, folder):
     return _featured(spark, folder, "day", [1, 2, 7], [2, 7])
@@ -673,47 +707,36 @@ def features_monthly(spark, folder):
     return _featured(spark, folder, "month", [1, 2], [2])
 
 
-def _gappy_events(spark, folder):
-    """Events without the errors of one week, which leaves a gap in that series."""
-    events = table(spark, folder, "events").select(
-        "event_type", F.col("ts").cast("date").alias("day"), F.col("value").cast("decimal(12,2)").alias("value")
-    )
-    gap = (F.col("event_type") == "error") & (dates.week_start(F.col("day")) == F.lit("2024-01-08").cast("date"))
-    return events.where(~gap)
-
-
-def _gappy_weeks(spark, folder):
-    return aggregate.sales_by_period(_gappy_events(spark, folder), "event_type", "day", "value", period=WEEK, out="total")
-
-
 @query
 def features_on_every_week(spark, folder):
-    weekly = _gappy_weeks(spark, folder)
-    dense = features.run_all(weekly, "event_type", "total", [1, 2], [2], WEEK, densify=True)
+    """Not every city sells in every week."""
+    weekly = _weekly(spark, folder, "city", CITY_SALES)
+    dense = features.run_all(weekly, "city", CITY_SALES, [1, 2], [2], WEEK, densify=True)
     return _rounded(dense).drop("is_missing")
 
 
 @query
 def week_spine(spark, folder):
-    return spine.spine(_gappy_weeks(spark, folder), WEEK, ["event_type"])
+    return spine.spine(_weekly(spark, folder, "city", CITY_SALES), WEEK, ["city"])
 
 
 @query
 def missing_weeks(spark, folder):
-    return spine.missing_periods(_gappy_weeks(spark, folder), WEEK, ["event_type"])
+    return spine.missing_periods(_weekly(spark, folder, "city", CITY_SALES), WEEK, ["city"])
 
 
 @query
 def missing_days_of_table(spark, folder):
-    days = sales(spark, folder, ("invoice_date",)).where(F.dayofweek("invoice_date") != 1)
-    return spine.missing_periods(days, "invoice_date", grain="day")
+    days = sales(spark, folder, ("invoice_date", "category"))
+    return spine.missing_periods(days, "invoice_date", ["category"], grain="day")
 
 
 @query
 def date_continuity(spark, folder):
-    rows = spine.ensure_continuity(_gappy_events(spark, folder), "day", ["event_type"])
-    return rows.groupBy("event_type", "day", "is_missing").agg(
-        F.count(F.lit(1)).alias("n"), total(F.col("value")).alias("total")
+    rows = sales(spark, folder, ("invoice_date", "city", "total_sales"))
+    rows = spine.ensure_continuity(rows, "invoice_date", ["city"])
+    return rows.groupBy("city", "invoice_date", "is_missing").agg(
+        F.count(F.lit(1)).alias("n"), total(F.col("total_sales")).alias("sales")
     )
 
 
@@ -729,6 +752,64 @@ def wrangle_quality(spark, folder):
     return made.quality.report
 
 
+@query
+def wrangle_outliers(spark, folder):
+    """Fences and capped values, as the flow reports them."""
+    raw = _raw_sales(spark, folder)
+    return wrangle(raw, shared_folder(spark, "wrangled"), NAMES, identity=["invoice_id"]).outliers
+
+
+@query
+def wrangle_duplicates(spark, folder):
+    """Rows that the flow dropped as duplicates."""
+    raw = _raw_sales(spark, folder)
+    return wrangle(raw, shared_folder(spark, "wrangled"), NAMES, identity=["invoice_id"]).duplicates
+
+
+def _exported(spark, folder, grain, name):
+    target = shared_folder(spark, "wrangled")
+    wrangle(_raw_sales(spark, folder), target, NAMES, identity=["invoice_id"], grains=[grain])
+    return read_latest(spark, target, name)
+
+
+@query
+def wrangle_daily(spark, folder):
+    return _exported(spark, folder, "day", "city_sales_daily")
+
+
+@query
+def wrangle_monthly(spark, folder):
+    return _exported(spark, folder, "month", "category_sales_monthly")
+
+
+def _text_sales(spark, folder):
+    """Raw rows whose sales are text, some of it no number and some with more digits than are kept."""
+    rows = _landed(spark, folder, [*KEY, "invoice_id", "invoice_date", "city", "category", "full_sales"])
+    written = F.when(F.col("l_orderkey") % 89 == 0, F.lit("n/a")).when(
+        F.col("l_orderkey") % 83 == 0, F.concat(F.col("full_sales").cast("string"), F.lit("09"))
+    ).otherwise(F.col("full_sales").cast("string"))
+    return rows.withColumn("total_sales", written).drop(*KEY, "full_sales")
+
+
+@query
+def rejected_values(spark, folder):
+    return quality.rejects(_text_sales(spark, folder), NAMES)
+
+
+@query
+def clean_text_sales(spark, folder):
+    """What is no number is filled like a missing one; numbers come through."""
+    cleaned = clean(_text_sales(spark, folder), NAMES, [], dedup_keys=["invoice_id"])
+    return cleaned.groupBy("city", "category").agg(
+        F.count(F.lit(1)).alias("n"), F.count("total_sales").alias("filled"), F.count_distinct("invoice_date").alias("dates")
+    )
+
+
+@query
+def most_frequent_of_each(spark, folder):
+    return profile.value_counts(dirty(spark, folder, ["city_hi", "category_hi", "invoice_id"]), top=3)
+
+
 @query
 def wrangle_to_features(spark, folder):
     """Raw rows to exported weekly tables, and those to exported features, read back."""

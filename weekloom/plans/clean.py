@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.columns import IDENTITY_COLUMNS, RETAIL, SalesColumns
 from weekloom.functions.text import tidy
-from weekloom.operators.dedup import drop_duplicates
+from weekloom.operators.dedup import drop_duplicates, duplicate_counts
 from weekloom.operators.missing import Rule, apply_policy, default_policy
 from weekloom.operators.schema import drop_columns, quoted
 
@@ -18,7 +19,20 @@ def tidy_columns(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
     return df.withColumns({c: tidy(F.col(quoted(c)), **options) for c in columns})
 
 
-def clean(
+@dataclass(frozen=True)
+class Cleaned:
+    """The rows, and one row with the duplicates that were dropped (``duplicate_groups``, ``surplus_rows``)."""
+
+    rows: DataFrame
+    duplicates: DataFrame
+
+
+def clean(df: DataFrame, columns: SalesColumns = RETAIL, *args, **options) -> DataFrame:
+    """The rows of ``clean_with_report``."""
+    return clean_with_report(df, columns, *args, **options).rows
+
+
+def clean_with_report(
     df: DataFrame,
     columns: SalesColumns = RETAIL,
     identity: Sequence[str] = IDENTITY_COLUMNS,
@@ -26,15 +40,23 @@ def clean(
     order_by: Sequence[str] = (),
     dedup_keys: Sequence[str] | None = None,
     retrim: bool = False,
-) -> DataFrame:
+) -> Cleaned:
     """Drop identity columns, treat nulls, drop duplicates, tidy the text columns.
 
+    Sales are cast before their nulls are looked at, so what is no number is filled
+    like a missing one; ``rejects`` counts it.
+
     Duplicates are looked for once the identity columns are gone and before the
     text is tidied; ``dedup_keys`` compares only those columns. Columns named in
     ``order_by`` serve a forward fill and stay until it is done.
     """
     ordering = [c for c in order_by if c in identity]
     kept = drop_columns(df, [c for c in identity if c not in ordering])
-    filled = apply_policy(kept, policy or default_policy(columns), order_by)
-    distinct = drop_duplicates(drop_columns(filled, ordering), dedup_keys)
-    return tidy_columns(distinct, [columns.city, columns.category], retrim=retrim)
+    if columns.sales in kept.columns:
+        kept = kept.withColumn(columns.sales, F.col(quoted(columns.sales)).try_cast(columns.required[columns.sales]))
+    filled = drop_columns(apply_policy(kept, policy or default_policy(columns), order_by), ordering)
+    distinct = drop_duplicates(filled, dedup_keys)
+    return Cleaned(
+        tidy_columns(distinct, [columns.city, columns.category], retrim=retrim),
+        duplicate_counts(filled, dedup_keys),
+    )

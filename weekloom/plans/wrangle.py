@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from weekloom.columns import RETAIL, SalesColumns
-from weekloom.operators.aggregate import ForecastTables, add_period, forecast_tables
+from weekloom.operators.aggregate import GRAIN_NAMES, ForecastTables, add_period, forecast_tables
 from weekloom.operators.features import run_all
-from weekloom.operators.outliers import handle_outliers
-from weekloom.operators.quality import QualityDetails, run_quality_checks
-from weekloom.operators.schema import coerce_types
-from weekloom.plans.clean import clean
+from weekloom.operators.outliers import cap_outliers, collect_fences, iqr_fences, outlier_report
+from weekloom.operators.quality import QualityDetails, rejects, run_quality_checks
+from weekloom.operators.schema import coerce_types, numeric_columns
+from weekloom.plans.clean import clean_with_report
 from weekloom.shared import materialise
 from weekloom.sinks.export import (
     CATEGORY_WEEKLY,
     CITY_WEEKLY,
     MAIN,
-    export_cleaned,
     export_features,
+    export_version,
 )
 from weekloom.sources.read import load_data
 from weekloom.sources.versions import read_latest
@@ -28,10 +28,16 @@ from weekloom.sources.versions import read_latest
 
 @dataclass(frozen=True)
 class Wrangled:
+    """``outliers``: fences and capped values per column; ``duplicates``: one row with those dropped;
+    ``tables``: of the first grain, ``by_grain`` of each."""
+
     main: DataFrame
     tables: ForecastTables
     quality: QualityDetails
     paths: dict[str, str]
+    outliers: DataFrame | None
+    duplicates: DataFrame
+    by_grain: dict[str, ForecastTables]
 
 
 def wrangle(
@@ -41,26 +47,36 @@ def wrangle(
     file_type: str = "parquet",
     outliers: str = "exact",
     keep: bool = True,
+    grains: Sequence[str] = ("week",),
     **cleaning,
 ) -> Wrangled:
     """Clean, coerce, cap, aggregate, check and export.
 
-    ``keep`` writes the cleaned rows to the shared folder before quartiles,
-    aggregates and checks read them, a few columns at a time, instead of
-    cleaning the raw rows anew for each.
+    ``keep`` writes the cleaned rows to the shared folder before quartiles and
+    the export read them, instead of cleaning the raw rows anew for each. The
+    aggregates and checks read what was exported. For each of ``grains`` the sales
+    of cities and categories are exported, as ``city_sales_daily`` for days.
     """
-    cleaned = coerce_types(clean(raw, columns, **cleaning), columns.required)
+    made = clean_with_report(raw, columns, **cleaning)
+    cleaned = coerce_types(made.rows, columns.required)
     if keep:
         cleaned = materialise(cleaned, "cleaned-sales")
-    main = add_period(handle_outliers(cleaned, method=outliers), columns.date, "week", columns.week)
-    tables = forecast_tables(main, columns, keep=keep)
-    paths = export_cleaned(
-        folder, main, tables.city_weekly, tables.category_weekly, columns.week, file_type
-    )
-    # The checks read what was exported; a CSV would not give the types back.
+    numbers = numeric_columns(cleaned)
+    fences = collect_fences(iqr_fences(cleaned, numbers, outliers)) if numbers else {}
+    main = add_period(cap_outliers(cleaned, fences), columns.date, "week", columns.week)
+    paths = {MAIN: export_version(main, folder, MAIN, file_type)}
+    # A CSV would not give the types back.
     stored = load_data(raw.sparkSession, paths[MAIN], file_type, main.schema)
-    checked = stored if file_type == "parquet" else main
-    return Wrangled(checked, tables, run_quality_checks(checked, columns), paths)
+    stored = stored if file_type == "parquet" else main
+    by_grain = {grain: forecast_tables(stored, columns, grain, keep) for grain in grains}
+    for grain, tables in by_grain.items():
+        for name, table in ((CITY_WEEKLY, tables.city_weekly), (CATEGORY_WEEKLY, tables.category_weekly)):
+            name = name.replace("weekly", GRAIN_NAMES[grain].lower())
+            paths[name] = export_version(table, folder, name, file_type, [columns.week])
+    details = run_quality_checks(stored, columns)
+    details = replace(details, report=details.report.unionByName(rejects(raw, columns)))
+    report = outlier_report(cleaned, fences) if fences else None
+    return Wrangled(stored, by_grain[grains[0]], details, paths, report, made.duplicates, by_grain)
 
 
 def build_features(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from weekloom.sources.versions import next_version
+from weekloom.sources.versions import reserve_version
 
 # Names under which the tables are exported.
 MAIN = "main_data"
@@ -24,12 +24,12 @@ def export_version(
 ) -> str:
     """Write ``df`` as the next version of ``name`` and return its path.
 
-    Two writers that pick the same number do not overwrite each other: the
-    second one fails.
+    The number is reserved by a marker before anything is written, whatever the file
+    type. Of two writers that pick the same number, the second one fails.
     """
     if file_type not in ("csv", "parquet"):
         raise ValueError(f"unsupported file type: {file_type}")
-    number = next_version(df.sparkSession, folder, name)
+    number = reserve_version(df.sparkSession, folder, name)
     path = f"{folder.rstrip('/')}/{name}_v{number}.{file_type}"
     if order_by:
         df = df.orderBy(*order_by)

@@ -17,6 +17,7 @@ class Version:
     path: str
     file_type: str
     complete: bool
+    writing: bool = False
 
 
 def list_versions(spark: SparkSession, folder: str, name: str) -> list[Version]:
@@ -37,14 +38,38 @@ def list_versions(spark: SparkSession, folder: str, name: str) -> list[Version]:
         match = pattern.fullmatch(path.getName())
         if match:
             complete = status.isFile() or fs.exists(path_type(path, "_SUCCESS"))
-            found.append(Version(int(match[1]), path.toString(), match[2], complete))
+            writing = not complete and fs.exists(path_type(path, "_temporary"))
+            found.append(Version(int(match[1]), path.toString(), match[2], complete, writing))
     return sorted(found, key=lambda version: version.number)
 
 
+def _reserved(spark: SparkSession, folder: str, name: str):
+    path_type = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = path_type(folder)
+    return path_type, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def reserve_version(spark: SparkSession, folder: str, name: str) -> int:
+    """The next version's number, taken by an empty marker file that only one writer can create.
+
+    A number whose write failed stays taken.
+    """
+    number = next_version(spark, folder, name)
+    path_type, root, fs = _reserved(spark, folder, name)
+    fs.mkdirs(root)
+    if not fs.createNewFile(path_type(root, f".{name}_v{number}.reserved")):
+        raise FileExistsError(f"another writer has taken version {number} of '{name}' in {folder}")
+    return number
+
+
 def next_version(spark: SparkSession, folder: str, name: str) -> int:
-    """One more than the highest, so a deleted version never frees a number in use."""
-    versions = list_versions(spark, folder, name)
-    return versions[-1].number + 1 if versions else 1
+    """One more than the highest written or reserved, so a deleted version never frees its number."""
+    _, root, fs = _reserved(spark, folder, name)
+    numbers = [v.number for v in list_versions(spark, folder, name)]
+    if fs.exists(root):
+        pattern = re.compile(rf"\.{re.escape(name)}_v(\d+)\.reserved")
+        numbers += [int(m[1]) for s in fs.listStatus(root) if (m := pattern.fullmatch(s.getPath().getName()))]
+    return max(numbers, default=0) + 1
 
 
 def read_latest(
@@ -54,9 +79,14 @@ def read_latest(
     schema: T.StructType | str | None = None,
     **options,
 ) -> DataFrame:
-    """The newest complete version of ``name``."""
-    complete = [v for v in list_versions(spark, folder, name) if v.complete]
-    if not complete:
+    """The newest version of ``name``. One that is still being written is passed over; one that
+    is not and has no ``_SUCCESS`` marker is an error, as nothing tells whether it is whole."""
+    versions = list_versions(spark, folder, name)
+    while versions and versions[-1].writing:
+        versions.pop()
+    if not versions:
         raise FileNotFoundError(f"no version of '{name}' in {folder}")
-    newest = complete[-1]
+    newest = versions[-1]
+    if not newest.complete:
+        raise RuntimeError(f"{newest.path} has no _SUCCESS marker: its write failed, or markers are switched off")
     return load_data(spark, newest.path, newest.file_type, schema, **options)
