@@ -1,5 +1,6 @@
 """Operators that learn or estimate: recall against brute force, held-out accuracy, invariants."""
 
+import html
 import random
 import re
 
@@ -179,7 +180,7 @@ def test_given_pages(spark):
     got = {r["page_id"]: r["text"] for r in extract_text(pages).collect()}
     for page_id, page in pages.select("page_id", "html").collect():
         body = re.search(r"<article>(.*)</article>", page, re.S)[1].replace("<br>", " ")
-        parts = [re.sub(r"\s+", " ", re.sub(r"<[^>]*>", "", p)).strip() for p in re.split(r"</?(?:p|h1)>", body)]
+        parts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", p))).strip() for p in re.split(r"</?(?:p|h1)>", body)]
         assert got[page_id] == "\n\n".join(p for p in parts if p)
 
 
