@@ -67,7 +67,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(_table(spark, folder, "documents"), shingle=3, threshold=0.85)
     found = found.select(F.col("document.doc_id").alias("doc_id"), "n_shingles", "component_id")
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
