@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekloom.llm.storage import small_batches
+
 #: Tags within a line of text; all others begin and end blocks.
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
@@ -346,6 +348,7 @@ def extract_text(
     pages: DataFrame, field: Field | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page; ``field`` defaults to one trained on ``labelled_pages``."""
+    small_batches(pages)
     field = field or train(labelled_pages())
     rows = pages.select(
         F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weekloom.llm.storage import small_batches
 from weekloom.llm.words import _LOWER, slices
 
 #: Fixed families; a language outside them is a family by itself.
@@ -219,6 +220,7 @@ def held_out(id_col: str = "doc_id"):
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row."""
+    small_batches(docs)
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),

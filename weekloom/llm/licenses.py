@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekloom.llm.storage import small_batches
 from weekloom.llm.words import ALNUM, Words, slices
 
 #: Labels by phrase: every place counts.
@@ -268,6 +269,7 @@ def _scan(templates, phrases):
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_words``, ``n_base`` (places of phrases), ``first_word`` and ``last_word`` (their smallest and
     largest start), ``base_labels``, ``labels`` and ``score`` (1 with a phrase, else the best covered share)."""
+    small_batches(docs)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(

@@ -34,7 +34,7 @@ from pyspark.sql.types import StringType
 
 from weekloom.llm.components import connected_components
 from weekloom.llm.words import Words, compressed, decompressed, mix, packed_slices, windows
-from weekloom.llm.storage import landed
+from weekloom.llm.storage import landed, small_batches
 
 REGISTERS = 100
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
@@ -324,6 +324,7 @@ def near_duplicates(
 ) -> DataFrame:
     """All rows with ``document`` (the input's columns), ``n_shingles``, ``component_id`` (smallest id
     of the component) and ``kept`` (true for one row of each component, the first of that id)."""
+    small_batches(docs)
     kept_columns = [c for c in docs.columns if c != text_col]
     others = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept_columns)])
     plain = docs.select(

@@ -50,7 +50,7 @@ def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = judge(_table(spark, folder, "documents"))
+    judged = judge(_table(spark, folder, "documents").select("doc_id", "lang", "text"))
     return judged.select(F.col("document.doc_id").alias("doc_id"), *[c for c in judged.columns if c != "document"])
 
 

@@ -9,6 +9,19 @@ from weekloom.shared import materialise
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_BATCH_ROWS, _BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Have Spark send texts to Python in batches of at most 1,000 rows and about 8 MB, unless the
+    session asks for less. The default, 10,000 rows, is a gigabyte of long documents."""
+    conf = df.sparkSession.conf
+    for key, most in ((_BATCH_ROWS, 1_000), (_BATCH_BYTES, 8 << 20)):
+        value = conf.get(key, "-1").lower().removesuffix("b")
+        if not value.isdigit() or not 0 < int(value) <= most:
+            conf.set(key, str(most))
+
+
 def landed(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

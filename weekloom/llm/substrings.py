@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.llm.words import Words, compressed, mix, packed_slices, windows
-from weekloom.llm.storage import landed
+from weekloom.llm.storage import landed, small_batches
 
 #: Perfect difference sets by period.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -217,6 +217,7 @@ def _gathered(places: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_removed`` and ``kept_text``, the words that
     no repeated window covers, joined by single spaces."""
+    small_batches(docs)
     # Rows numbered in the order of their ids: what has the smaller number starts earlier.
     sent = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), compressed(F.col(f"`{text_col}`")).alias("packed"))
     in_order = (F.col("doc_id").asc_nulls_last(), F.col("digest"))

@@ -41,13 +41,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weekloom.shared import shared_folder
-from weekloom.llm.storage import landed
+from weekloom.llm.storage import landed, small_batches
 
 IDS_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 NO_ID = -(1 << 63)
 #: Pieces remembered per Python worker, and the longest that is.
-REMEMBERED, LONGEST = 600_000, 64
+REMEMBERED, LONGEST = 300_000, 64
 
 
 def _byte_letters() -> dict[int, str]:
@@ -206,6 +206,7 @@ def write_token_files(
     """Write the files and return their manifest: ``part``, ``path``, ``n_docs``, ``n_tokens`` and
     ``start``, the number of ids in all files before. ``tokenizer`` is the path of a tokenizer file that drops
     white space and is found on every executor."""
+    small_batches(docs)
     spark = docs.sparkSession
     folder = (folder or shared_folder(spark, "token-files")).rstrip("/")
     where, base = fs.FileSystem.from_uri(folder)
