@@ -17,7 +17,7 @@ def small_batches(df: DataFrame) -> None:
     session asks for less. The default, 10,000 rows, is a gigabyte of long documents."""
     conf = df.sparkSession.conf
     for key, most in ((_BATCH_ROWS, 1_000), (_BATCH_BYTES, 8 << 20)):
-        value = conf.get(key, "-1").lower().removesuffix("b")
+        value = conf.get(key).lower().removesuffix("b")
         if not value.isdigit() or not 0 < int(value) <= most:
             conf.set(key, str(most))
 
