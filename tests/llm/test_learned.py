@@ -133,6 +133,18 @@ def test_paraphrases_nulls_and_repeats(spark, docs):
     assert contaminated(table.limit(0), benchmark).count() == 0
 
 
+def test_a_text_that_quotes_an_item_twice(spark):
+    item = [f"q{k}" for k in range(20)]
+    longer = " ".join(item[:14])  # 0.70 without the answer
+    answered = " ".join(item[:10] + item[17:])  # 0.65 with it
+    apart = " ".join(f"f{k % 37}" for k in range(200))
+    rows = [(1, f"{longer} {apart} {answered}"), (2, f"{answered} {apart} {longer}"), (3, f"{longer} {apart} {longer}")]
+    rows += [(4, f"{answered} {apart} {' '.join(item)}"), (5, f"{' '.join(item)} {apart} {answered}")]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()
+    assert sorted((r["doc_id"], r["common_share"], r["answer_found"]) for r in got) == [(1, 0.65, True), (2, 0.65, True), (4, 1.0, True), (5, 1.0, True)]
+
+
 def test_common_subsequence_like_the_table():
     rng = random.Random(6)
     for _ in range(100):
