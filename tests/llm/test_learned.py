@@ -145,6 +145,55 @@ def test_a_text_that_quotes_an_item_twice(spark):
     assert sorted((r["doc_id"], r["common_share"], r["answer_found"]) for r in got) == [(1, 0.65, True), (2, 0.65, True), (4, 1.0, True), (5, 1.0, True)]
 
 
+def test_short_items_like_reading_everything(spark):
+    rng = random.Random(12)
+    common = [f"c{k}" for k in range(600)]
+    draw = lambda n: [common[min(rng.randrange(600), rng.randrange(600))] for _ in range(n)]
+    items = [draw(4 + k % 11) for k in range(66)] + [["answer"] + draw(4) + ["answer"] + draw(3), ["so"] * 5, ["one"]]
+    rows, planted = [], set()
+    for k, item in enumerate(items):
+        words = draw(150)
+        for share in (1.0, 0.8, 0.62):
+            kept = [w if rng.random() < share else f"x{rng.randrange(99)}" for w in item]
+            at = rng.randrange(140)
+            text = words[:at] + (item if share == 1.0 else kept) + words[at:]
+            if share == 1.0:
+                planted.add((len(rows), k))
+            rows.append((len(rows), " ".join(text)))
+        rows.append((len(rows), " ".join(item[: len(item) // 2])))
+    want = set()
+    read = [Item(i, plain_words(" ".join(t))) for i, t in enumerate(items)]
+    for doc, text in rows:
+        words = plain_words(text)
+        for item in read:
+            n, own = len(item.words), set(item.words)
+            for k in [k for k, w in enumerate(words) if w in own]:
+                share = item.common(words[k : k + 2 * n])
+                if share >= 0.75 or share >= 0.6 and item.answered(words[k : k + 2 * n]):
+                    want.add((doc, item.item_id))
+                    break
+    table = spark.createDataFrame([*rows, (None, None), (-1, "")], "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = contaminated(table, benchmark).collect()
+    assert planted <= want and len(want) > len(planted) + 60
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted(want)
+    assert all(r["common_share"] == 1.0 and -1.001 <= r["cosine"] <= 1.001 for r in got if (r["doc_id"], r["item_id"]) in planted)
+
+
+def test_verbatim_short_items_are_all_found(spark, given):
+    rng = random.Random(5)
+    items = [(r[0], r[1].split()) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").collect()]
+    cut = [(i, t[(s := rng.randrange(len(t) - 3)) : s + 4 + i % 8]) for i, t in items]
+    texts = [r[0].split()[:150] for r in given.where("n_chars > 1500").orderBy("doc_id").limit(400).select("text").collect()]
+    rows = []
+    for k, (i, t) in enumerate(cut):
+        at = rng.randrange(len(texts[k]))
+        rows.append((i, " ".join(texts[k][:at] + t + texts[k][at:])))
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in cut], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()}
+    assert {(i, i) for i, _ in cut} <= got
+
+
 def test_common_subsequence_like_the_table():
     rng = random.Random(6)
     for _ in range(100):
