@@ -270,6 +270,23 @@ def test_markup_cases(spark):
     assert main_text("<p>&lt;p&gt;", field) in ("", "<p>")
 
 
+def test_skipped_elements_without_their_end_tag():
+    read = lambda page: [b.text for b in blocks_of(page)]
+    rest, want = "<p>First words.</p><p>Second words.</p>", ["First words.", "Second words."]
+    top = "<html><head><meta charset=x><title>T</title><style>p</style>"
+    assert read(f"{top}<body>{rest}") == read(f"{top}{rest}") == read(f"{top}</head><body>{rest}") == want
+    assert read(f"{top}<body><header><h1>Top.</h1></header>{rest}") == ["Top.", *want]
+    assert read(f"{top}Bare text.{rest}") == ["Bare text.", *want]
+    assert read(f"<head><script>'<p>'</script>junk</head>{rest}") == want
+    assert read(f"<head>{rest}<head>{rest}") == want * 2
+    for name in ("noscript", "object", "svg", "select", "template", "iframe", "canvas"):
+        assert read(f"<body><div><{name} class='x'>{rest}</div>") == want
+        assert read(f"<{name}>{rest}<{name}>no</{name}><p>Third.</p>") == [*want, "Third."]
+        assert read(f"<{name}>no</{name.upper()} >{rest}<{name}x>z</{name}x>") == [*want, "z"]
+    assert read(f"<object><object>no</object>no</object>{rest}") == want
+    assert read(f"<p>One.</p><script>x{rest}") == ["One."]
+
+
 # ------------------------------------------------------------------ languages
 
 

@@ -14,7 +14,8 @@ hold no blocks. Blocks chosen as text are joined by an empty line; references ar
 space within a block is one space.
 
 Defined results: null or empty html, or a page without text blocks, gives an empty text; broken markup
-is read as it stands (an unclosed tag ends with its parent); repeated rows are rows of their own; an
+is read as it stands (an unclosed tag ends with its parent; a head before what can't be in one; an unclosed
+script, style, textarea or title with the page; other skipped elements at once); repeated rows are rows of their own; an
 empty table gives an empty one; other columns are ignored.
 """
 
@@ -50,6 +51,11 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)>",
     re.S,
 )
+#: Elements whose content is read up to their end tag, or else to the end of the page.
+RAW = frozenset("script style textarea title".split())
+#: What can stand in a head; any other tag ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _SPACE = re.compile(r"\s+")
 _NAME_PART = re.compile(r"[a-z]+")
@@ -78,12 +84,57 @@ def _marks_of(attributes: str) -> frozenset[str]:
     return frozenset(_NAME_PART.findall(" ".join(values)))
 
 
+def _pairs(page: str, name: str) -> dict[int, int]:
+    """Where the content of each closed element of that name begins, and where its end tag ends."""
+    tag = re.compile(
+        r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)(?=[\s/>]).*?(?:</\1(?=[\s/>])|\Z)"
+        rf"|<(/?){re.escape(name)}(?=[\s/>])((?>[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)>",
+        re.S | re.I,
+    )
+    out, opened = {}, []
+    for found in tag.finditer(page):
+        if found.group(2) == "/":
+            if opened:
+                out[opened.pop()] = found.end()
+        elif found.group(2) is not None and not found.group(3).endswith("/"):
+            opened.append(found.end())
+    return out
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order. A block ends at each block-level tag."""
     blocks: list[Block] = []
     stack: list[tuple[str, frozenset[str]]] = []
     parts: list[str] = []
     linked, links, at, end = 0, 0, 0, len(page)
+    headed, pairs = False, {}
+
+    def after(name: str, at: int) -> int:
+        """Where a skipped element ends whose content begins at ``at``. One without an end tag has no content."""
+        if name in RAW:
+            stop = _RAW_END[name].search(page, at)
+            return stop.end() if stop else end
+        if name not in pairs:
+            pairs[name] = _pairs(page, name)
+        return pairs[name].get(at, at)
+
+    def after_head(at: int) -> int:
+        """Where the head ends whose content begins at ``at``: without an end tag, before what can't be in it."""
+        text = None
+        while tag := _TAG.search(page, at):
+            if text is None and page[at : tag.start()].strip():
+                text = at
+            at = tag.end()
+            if not tag.group(2):
+                continue
+            name, closing = tag.group(2).lower(), tag.group(1) == "/"
+            if closing and name == "head":
+                return at
+            if name in ("body", "html", "br") if closing else name not in IN_HEAD:
+                return tag.start() if text is None else text
+            if not closing and name in SKIPPED and name != "head" and not tag.group(3).endswith("/"):
+                at = after(name, at)
+        return at if text is None else text
 
     def close() -> None:
         nonlocal linked
@@ -108,10 +159,11 @@ def blocks_of(page: str) -> list[Block]:
             continue
         name, closing = tag.group(2).lower(), tag.group(1) == "/"
         if name in SKIPPED and not closing:
-            if not tag.group(3).endswith("/"):
-                # A search from here: the content is no markup.
-                stop = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
-                at = stop.end() if stop else end
+            if name == "head":
+                # A page has one head.
+                at, headed = at if headed else after_head(at), True
+            elif not tag.group(3).endswith("/"):
+                at = after(name, at)
             continue
         if name not in INLINE:
             close()
