@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weekloom.llm.decontaminate import contaminated
 from weekloom.llm.html_text import extract_text
+from weekloom.llm.importance import resample
 from weekloom.llm.language import held_out, identify, train
 from weekloom.llm.licenses import scan_licenses
 from weekloom.llm.mixing import mix
@@ -18,6 +19,7 @@ from weekloom.llm.quality import judge
 from weekloom.llm.sharding import pack
 from weekloom.llm.substrings import remove_repeats
 from weekloom.llm.token_files import read_token_files, write_token_files
+from weekloom.llm.queries_sql import SQL  # noqa: F401
 from weekloom.sources.read import load_data
 
 
@@ -75,6 +77,10 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -86,6 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
 }
-
-SQL: dict[str, str] = {}
