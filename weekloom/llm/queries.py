@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekloom.llm import classifier
 from weekloom.llm.decontaminate import contaminated
 from weekloom.llm.html_text import extract_text
 from weekloom.llm.importance import resample
@@ -81,6 +82,13 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op12_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = classifier.train(docs, labels, ~classifier.held_out() & F.col("doc_id").isNotNull())
+    scored = classifier.score_quality(docs, model)
+    return scored.select("doc_id", classifier.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -93,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_quality_classifier": op12_quality_classifier,
 }
