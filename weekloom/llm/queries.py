@@ -16,6 +16,7 @@ from weekloom.llm.language import held_out, identify, train
 from weekloom.llm.licenses import scan_licenses
 from weekloom.llm.mixing import mix
 from weekloom.llm.near_duplicates import near_duplicates
+from weekloom.llm.prefix_trie import prefix_trie
 from weekloom.llm.quality import judge
 from weekloom.llm.sharding import pack
 from weekloom.llm.substrings import remove_repeats
@@ -89,6 +90,10 @@ def op12_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", classifier.held_out().alias("held_out"), "score", "predicted")
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -102,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_quality_classifier": op12_quality_classifier,
+    "op13_prefix_trie": op13_prefix_trie,
 }
