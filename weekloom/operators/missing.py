@@ -31,9 +31,10 @@ class ConstantOrMode:
 
 @dataclass(frozen=True)
 class Regression:
-    """Fill by a linear model on ``features``."""
+    """Fill by a linear model on ``features``; ``solver`` as of ``fit_sales_model``."""
 
     features: Sequence[str]
+    solver: str = "auto"
 
 
 Rule = DropOrForwardFill | ConstantOrMode | Regression
@@ -143,7 +144,7 @@ def apply_policy(
                 df, plain = fill_constant(df, column, value), fill_constant(plain, column, value)
         elif share.nulls < share.rows:
             base = df if forward & {column, *rule.features} else plain
-            model = fit_sales_model(base, column, rule.features)
+            model = fit_sales_model(base, column, rule.features, rule.solver)
             df = fill_with_model(df, model, column)
             plain = fill_with_model(plain, model, column)
     return df

@@ -13,6 +13,7 @@ from weekloom.operators import (
     aggregate,
     dedup,
     features,
+    indexing,
     missing,
     outliers,
     profile,
@@ -319,6 +320,34 @@ def regression_impute(spark, folder):
     return _totals(filled, "city_hi", "category_hi")
 
 
+@query
+def regression_many_categories(spark, folder):
+    """Parts and cities as features: too many categories for normal equations on larger tables."""
+    rows = _landed(spark, folder, [*KEY, "city_hi", "total_sales"])
+    hit = F.col("total_sales").isNull()
+    rows = rows.withColumns({"was_null": hit, "total_sales": F.col("total_sales").cast("double")})
+    filled = regression.predict_missing_sales(rows, "total_sales", ["l_partkey", "city_hi"], solver="cells")
+    return filled.where("was_null").groupBy("city_hi").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("total_sales"), 2).alias("average")
+    )
+
+
+@query
+def category_index(spark, folder):
+    rows = dirty(spark, folder, ["city_hi", "l_partkey", "invoice_id"])
+    return indexing.category_index(rows, ["city_hi", "l_partkey", "invoice_id"])
+
+
+@query
+def indexed_rows(spark, folder):
+    """Every row with the indices of its categories, summed up per city."""
+    rows = dirty(spark, folder, ["city_hi", "l_partkey"])
+    indexed = indexing.index_categories(rows, ["city_hi", "l_partkey"])
+    return indexed.groupBy("city_hi", "city_hi Index").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_partkey Index").alias("parts")
+    )
+
+
 def _raw_sales(spark, folder):
     """Raw rows without null sales, so that no model is involved."""
     rows = _landed(

@@ -197,6 +197,50 @@ _add(
     *_EFFECTS,
 )
 
+# The same for parts and cities, with the effects in two columns of one table per turn.
+_MORE_TURNS = 40
+_PART_EFFECTS = [
+    """cells AS MATERIALIZED (
+         SELECT l_partkey AS part, coalesce(city_hi, '') AS city,
+                CAST(sum(total_sales) AS DOUBLE) / count(*) AS mean, count(*) AS n
+         FROM dirty WHERE total_sales IS NOT NULL GROUP BY ALL)""",
+    "city_0 AS (SELECT DISTINCT city, CAST(0 AS DOUBLE) AS c FROM cells)",
+]
+for _i in range(_MORE_TURNS):
+    _PART_EFFECTS += [
+        f"""part_{_i} AS MATERIALIZED (SELECT part, sum(n * (mean - c)) / sum(n) AS t
+                          FROM cells JOIN city_{_i} USING (city) GROUP BY part)""",
+        f"""city_{_i + 1} AS MATERIALIZED (SELECT city, sum(n * (mean - t)) / sum(n) AS c
+                                  FROM cells JOIN part_{_i} USING (part) GROUP BY city)""",
+    ]
+_add(
+    "regression_many_categories",
+    f"""SELECT city_hi, count(*) AS n,
+               round(avg(coalesce(t, (SELECT sum(t * n) / sum(n) FROM cells JOIN part_{_MORE_TURNS - 1} USING (part))) + c), 2) AS average
+        FROM dirty LEFT JOIN part_{_MORE_TURNS - 1} AS by_part ON by_part.part = l_partkey
+                   JOIN city_{_MORE_TURNS} AS by_city ON by_city.city = coalesce(city_hi, '')
+        WHERE total_sales IS NULL GROUP BY city_hi""",
+    *_PART_EFFECTS,
+)
+
+
+def _indexed(column: str) -> str:
+    return f"""SELECT '{column}' AS "column", value, n, row_number() OVER (ORDER BY n DESC, value) - 1 AS id
+               FROM (SELECT CAST({column} AS VARCHAR) AS value, count(*) AS n FROM dirty
+                     WHERE {column} IS NOT NULL GROUP BY 1)"""
+
+
+_add("category_index", " UNION ALL ".join(_indexed(c) for c in ("city_hi", "l_partkey", "invoice_id")))
+_add(
+    "indexed_rows",
+    """SELECT d.city_hi, c.id AS "city_hi Index", count(*) AS n, CAST(sum(p.id) AS BIGINT) AS parts
+       FROM dirty AS d JOIN (SELECT * FROM found WHERE "column" = 'l_partkey') AS p
+            ON CAST(d.l_partkey AS VARCHAR) = p.value
+       LEFT JOIN (SELECT * FROM found WHERE "column" = 'city_hi') AS c ON d.city_hi = c.value
+       GROUP BY 1, 2""",
+    "found AS (" + _indexed("city_hi") + " UNION ALL " + _indexed("l_partkey") + ")",
+)
+
 
 def _tidy(column: str) -> str:
     return rf"regexp_replace(lower(trim({column}, ' ')), '[^a-zA-Z0-9\- ]', '', 'g')"
