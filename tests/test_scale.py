@@ -24,12 +24,12 @@ few = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthC
 def test_ranges_keep_the_order_and_are_even(spark):
     # A third of the rows share their first key column.
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100).alias("a"), "id")
-    key = F.struct("a", "id")
+    key = F.struct("row.a", "row.id")
     ranges = (
         in_ranges(df, ["a", "id"], 16)
-        .groupBy("__range")
+        .groupBy("range")
         .agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-        .orderBy("__range")
+        .orderBy("range")
         .collect()
     )
     assert len(ranges) == 16
@@ -39,9 +39,9 @@ def test_ranges_keep_the_order_and_are_even(spark):
 
 def test_places_follow_the_order(spark):
     df = spark.range(5_000).select(F.when(F.col("id") % 50 != 0, F.pmod(F.xxhash64("id"), F.lit(997))).alias("a"), "id")
-    rows = in_ranges(df, ["a", "id"], 300).orderBy("__place").collect()
-    keys = [(r.a is not None, r.a or 0, r.id) for r in rows]
-    assert keys == sorted(keys) and len({r["__place"] for r in rows}) == 5_000
+    rows = in_ranges(df, ["a", "id"], 300).orderBy("place").collect()
+    keys = [(r.row.a is not None, r.row.a or 0, r.row.id) for r in rows]
+    assert keys == sorted(keys) and len({r["place"] for r in rows}) == 5_000
 
 
 def test_forward_fill_plan_sorts_no_rows_to_aggregate(spark):
@@ -49,7 +49,7 @@ def test_forward_fill_plan_sorts_no_rows_to_aggregate(spark):
     lines = plan(forward_fill(df, "v", ["id"], ranges=20)).splitlines()
     below = [lines[k:] for k, line in enumerate(lines) if "SortAggregate" in line]
     # Only the three picked rows of each range may be sorted; the scan of all of them may not.
-    assert not any("SortAggregate" in line and "__place" in line for line in lines), below
+    assert not any("SortAggregate" in line and "(place" in line for line in lines), below
 
 
 # Forward fill
@@ -106,7 +106,7 @@ def test_forward_fill_spreads_a_table_with_one_key(spark, small):
     rows = dirty(spark, small, [*KEY, "date_hi"]).withColumn("k", F.lit("only"))
     filled = forward_fill(rows, "date_hi", KEY, ["k"], ranges=8)
     assert "SinglePartition" not in plan(filled)
-    assert re.search(r"Exchange hashpartitioning\(__range", plan(filled))
+    assert re.search(r"Exchange hashpartitioning\(range", plan(filled))
 
 
 # Quantiles

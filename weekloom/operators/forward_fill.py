@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.operators.schema import quoted, require_columns
 from weekloom.shared import materialise
 
 ROWS_PER_RANGE = 2_000_000
-_RANGE, _PLACE, _CARRY = "__range", "__place", "__carry"
+_RANGE, _PLACE, _CARRY = "range", "place", "carry"
 
 
 def forward_fill(
@@ -36,52 +36,56 @@ def forward_fill(
     require_columns(df, [column, *order_by, *partition_by])
     ordered = in_ranges(df, [*partition_by, *order_by], ranges, rows)
     window = (
-        Window.partitionBy(_RANGE, *[quoted(c) for c in partition_by])
+        Window.partitionBy(_RANGE, *[_of_row(c) for c in partition_by])
         .orderBy(_PLACE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = ordered.withColumn(column, F.last(quoted(column), ignorenulls=True).over(window))
+    filled = ordered.withColumn("filled", F.last(_of_row(column), ignorenulls=True).over(window))
     carried = _carried(ordered, column, partition_by)
     carry = F.when(_group(partition_by) == F.col(f"{_CARRY}.group"), F.col(f"{_CARRY}.value"))
-    return (
-        filled.join(carried, _RANGE, "left")
-        .withColumn(column, F.coalesce(F.col(quoted(column)), carry))
-        .select(*[quoted(c) for c in df.columns])
+    value = F.coalesce(F.col("filled"), carry)
+    return filled.join(carried, _RANGE, "left").select(
+        *[(value if c == column else _of_row(c)).alias(c) for c in df.columns]
     )
 
 
+def _of_row(column: str) -> Column:
+    return F.col(f"row.{quoted(column)}")
+
+
 def in_ranges(
     df: DataFrame, keys: Sequence[str], ranges: int | None = None, rows: int | None = None
 ) -> DataFrame:
     """The rows, sorted by ``keys`` into consecutive ranges and stored with range and place.
 
     A place is a number that grows with the order. Both are written with the row,
-    so a repeated task can't number it differently.
+    so a repeated task can't number it differently. The row is a struct, ``row``, whose columns
+    may have any names.
     """
     if ranges is None:
         rows = df.count() if rows is None else rows
         ranges = max(df.sparkSession.sparkContext.defaultParallelism, rows // ROWS_PER_RANGE)
     order = [F.col(quoted(c)).asc_nulls_first() for c in keys]
     cut = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    return materialise(
-        cut.withColumns({_RANGE: F.spark_partition_id(), _PLACE: F.monotonically_increasing_id()}), "ranges"
-    )
+    row = F.struct(*[quoted(c) for c in df.columns]).alias("row")
+    placed = cut.select(row, F.spark_partition_id().alias(_RANGE), F.monotonically_increasing_id().alias(_PLACE))
+    return materialise(placed, "ranges")
 
 
 def _group(partition_by: Sequence[str]):
     """The partition a row belongs to. Structs compare null fields as equal."""
-    return F.struct(F.lit(0), *[F.col(quoted(c)) for c in partition_by])
+    return F.struct(F.lit(0), *[_of_row(c) for c in partition_by])
 
 
 def _carried(ordered: DataFrame, column: str, partition_by: Sequence[str]):
     """For each range, the value that its first partition brings from earlier ranges."""
-    filled = F.when(F.col(quoted(column)).isNotNull(), F.col(_PLACE))
+    filled = F.when(_of_row(column).isNotNull(), F.col(_PLACE))
     places = ordered.groupBy(_RANGE).agg(
         F.min(_PLACE).alias("first"), F.max(_PLACE).alias("last"), F.max(filled).alias("top")
     )
     # At most three rows of each range are looked at again.
     wanted = places.select(F.explode(F.array_distinct(F.array("first", "last", "top"))).alias(_PLACE))
-    rows = ordered.select(_PLACE, _group(partition_by).alias("group"), F.col(quoted(column)).alias("value"))
+    rows = ordered.select(_PLACE, _group(partition_by).alias("group"), _of_row(column).alias("value"))
     picked = rows.join(wanted, _PLACE)
 
     def at(edge: str) -> DataFrame:

@@ -17,12 +17,14 @@ from weekloom.shared import materialise
 # Quartiles and the width of the fences.
 QUARTILES = (0.25, 0.75)
 FENCE_WIDTH = 1.5
-ZONES = 1024
+#: Values of a bracket that are ranked in one task, and ranges of a larger one, at most.
+RANGE_VALUES, MOST_RANGES = 2_000, 2_000
 APPROXIMATE_ACCURACY = 10_000
 
 
 def _double(column: str) -> Column:
-    return F.col(quoted(column)).cast("double")
+    """A column as numbers. NaN is a missing value: no quantile, fence or count sees it."""
+    return F.nanvl(F.col(quoted(column)).cast("double"), F.lit(None).cast("double"))
 
 
 def quantiles_approx(
@@ -72,9 +74,9 @@ def quantiles_exact(
     """As ``quantiles_approx``, but exact, with linear interpolation between ranks.
 
     A sketch brackets each quantile, and one pass counts the values below and in
-    each bracket. From then on only the few rows in a bracket matter. A bracket is
-    divided evenly into zones, and only the zones that hold a wanted rank are
-    counted value by value: no task sees all values of a column.
+    each bracket. From then on only the few rows in a bracket matter. Its different values
+    are cut into ranges at sampled ones, whatever their distribution, and only in the ranges that hold a wanted
+    rank are values ranked one by one: no task sees all values of a column.
     """
     brackets = _brackets(df, columns, probabilities, accuracy)
     empty = [c for c in columns if c not in {b.column for b in brackets}]
@@ -92,7 +94,6 @@ def quantiles_exact(
                         F.struct(
                             F.lit(i).alias("b"),
                             F.when(inside[i], _double(b.column)).alias("value"),
-                            _zone(_double(b.column), b.low, b.high).alias("zone"),
                         )
                         for i, b in enumerate(brackets)
                     ]
@@ -101,8 +102,7 @@ def quantiles_exact(
         )
         .where(F.col("value").isNotNull())
     )
-    # Few values: written once, read for the zones and for the ranks within them.
-    cells = materialise(cells, "quantile-cells")
+    cells = _ranged(cells.groupBy("b", "value").agg(F.count(F.lit(1)).alias("n")))
 
     def of_bracket(values: list) -> Column:
         return F.get(F.array(*[F.lit(v) for v in values]), F.col("b"))
@@ -111,9 +111,9 @@ def quantiles_exact(
         of_bracket([b.first_rank for b in brackets]), of_bracket([b.last_rank for b in brackets])
     )
     wanted = (
-        # One row per zone of a bracket, of which one or two stay.
+        # One row per range of a bracket, of which one or two stay.
         cells.groupBy("b", "zone")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("before", F.sum("n").over(Window.partitionBy("b").orderBy("zone")) - F.col("n"))
         .withColumn("rank", F.explode(F.array_distinct(ranks)))
         .withColumn("rank", F.col("rank") - F.col("before"))
@@ -122,8 +122,6 @@ def quantiles_exact(
     )
     counted = (
         cells.join(F.broadcast(wanted.select("b", "zone").distinct()), ["b", "zone"], "left_semi")
-        .groupBy("b", "zone", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(Window.partitionBy("b", "zone").orderBy("value")))
     )
     first, second = F.min("value"), F.max("value")
@@ -187,9 +185,14 @@ def _brackets(
     return brackets
 
 
-def _zone(value: Column, low: float, high: float) -> Column:
-    part = F.floor((value - F.lit(low)) / F.lit((high - low) or 1.0) * ZONES)
-    return F.least(part, F.lit(ZONES - 1))
+def _ranged(counted: DataFrame) -> DataFrame:
+    """Counted values (``b``, ``value``, ``n``), stored with the range of values, ``zone``, each is in."""
+    counted = materialise(counted, "quantile-values")
+    ranges = min(MOST_RANGES, counted.count() // RANGE_VALUES)
+    if ranges <= 1:
+        return counted.withColumn("zone", F.lit(0))
+    cut = counted.repartitionByRange(ranges, "b", "value").withColumn("zone", F.spark_partition_id())
+    return materialise(cut, "quantile-ranges")
 
 
 def iqr_fences(
@@ -242,24 +245,32 @@ def is_outlier(c: Column, lower: Column, upper: Column) -> Column:
     return (c < lower) | (c > upper)
 
 
+def _numbers_only(c: Column, dtype: T.DataType) -> Column:
+    """Without NaN, which Spark orders above all numbers, so that it would count as an outlier."""
+    return F.nanvl(c, F.lit(None).cast(dtype)) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c
+
+
 def outlier_report(df: DataFrame, fences: dict[str, tuple[float, float]]) -> DataFrame:
     """Fences and number of values outside them, all columns in one pass."""
     counts, bounds = {}, {}
     for column, (low, high) in fences.items():
-        lower, upper = _fences((low, high), df.schema[column].dataType)
-        counts[column] = {"outliers": F.count_if(is_outlier(F.col(quoted(column)), lower, upper))}
+        dtype = df.schema[column].dataType
+        lower, upper = _fences((low, high), dtype)
+        value = _numbers_only(F.col(quoted(column)), dtype)
+        counts[column] = {"outliers": F.count_if(is_outlier(value, lower, upper))}
         bounds[column] = {"lower": F.lit(float(low)), "upper": F.lit(float(high))}
     return aggregate_columns(df, counts, constants=bounds).select("column", "lower", "upper", "outliers")
 
 
 def cap_outliers(df: DataFrame, fences: dict[str, tuple[float, float]]) -> DataFrame:
-    """Clamp each column to its fences; nulls stay null and every column keeps its type."""
+    """Clamp each column to its fences; nulls and NaN stay what they are, and every column keeps its type."""
     capped = {}
     for column, bounds in fences.items():
         value, dtype = F.col(quoted(column)), df.schema[column].dataType
         lower, upper = _fences(bounds, dtype)
+        number = _numbers_only(value, dtype)
         capped[column] = (
-            F.when(value < lower, lower.try_cast(dtype)).when(value > upper, upper.try_cast(dtype)).otherwise(value)
+            F.when(number < lower, lower.try_cast(dtype)).when(number > upper, upper.try_cast(dtype)).otherwise(value)
         )
     return df.withColumns(capped)
 

@@ -451,6 +451,20 @@ def cap_outliers(spark, folder):
     )
 
 
+@query
+def cap_with_nan(spark, folder):
+    """Every seventh value is NaN: it moves no fence and is not capped."""
+    values = table(spark, folder, "events").select("event_type", "event_id", "value")
+    spoilt = values.withColumn("value", F.when(F.col("event_id") % 7 == 0, float("nan")).otherwise(F.col("value")))
+    capped = outliers.handle_outliers(spoilt, ["value"])
+    return capped.groupBy("event_type").agg(
+        F.count_if(F.isnan("value")).alias("n_nan"),
+        F.min("value").alias("lowest"),
+        F.max(F.nanvl("value", F.lit(None).cast("double"))).alias("highest"),
+        total(F.nanvl("value", F.lit(None).cast("double")).cast("decimal(22,8)")).alias("total"),
+    )
+
+
 @query
 def cap_integer_outliers(spark, folder):
     lengths = table(spark, folder, "documents").select("lang", "n_chars")

@@ -319,6 +319,17 @@ _add(
                                           WHEN value > "upper" THEN "upper" ELSE value END AS value
                   FROM events, fences)""",
 )
+_add(
+    "cap_with_nan",
+    """SELECT event_type, count(*) - count(value) AS n_nan, min(value) AS lowest, max(value) AS highest,
+              CAST(sum(CAST(value AS DECIMAL(22,8))) AS DOUBLE) AS total
+       FROM capped GROUP BY event_type""",
+    "spoilt AS (SELECT event_type, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)",
+    f"fences AS ({_fences('value', 'spoilt')})",
+    """capped AS (SELECT event_type, CASE WHEN value < "lower" THEN "lower"
+                                          WHEN value > "upper" THEN "upper" ELSE value END AS value
+                  FROM spoilt, fences)""",
+)
 _add(
     "cap_integer_outliers",
     """SELECT lang, count(*) AS n, max(n_chars) AS highest,
