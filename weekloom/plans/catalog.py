@@ -21,6 +21,7 @@ from weekloom.operators import (
     ranking,
     regression,
     schema,
+    sketches,
     spine,
 )
 from weekloom.operators.forward_fill import forward_fill
@@ -220,19 +221,52 @@ def distinct_values(spark, folder):
 
 @query
 def distinct_counts(spark, folder):
-    return profile.distinct_counts(sales(spark, folder, ("city", "category", "quantity")))
+    columns = ("city", "category", "quantity")
+    return profile.distinct_counts(sales(spark, folder, columns), columns)
 
 
 @query
 def distinct_counts_approx(spark, folder):
-    """Whether each estimate is within three standard errors (5 % each) of the number."""
-    rows = sales(spark, folder, ("city", "category", "quantity"))
-    found = profile.distinct_counts(rows, approximate=True).withColumnRenamed("n_distinct", "estimate")
-    joined = found.join(profile.distinct_counts(rows), "column")
-    close = F.abs(F.col("estimate") - F.col("n_distinct")) <= F.greatest(F.lit(1), 0.15 * F.col("n_distinct"))
+    """Whether each estimate is within three standard errors (1.6 % each) of the number."""
+    columns = ("city", "category", "quantity")
+    rows = sales(spark, folder, columns)
+    found = profile.distinct_counts(rows).withColumnRenamed("n_distinct", "estimate")
+    joined = found.join(profile.distinct_counts(rows, columns), "column")
+    close = F.abs(F.col("estimate") - F.col("n_distinct")) <= F.greatest(F.lit(1), 0.05 * F.col("n_distinct"))
     return joined.select("column", close.alias("close"))
 
 
+@query
+def distinct_counts_from_days(spark, folder):
+    """Sketches per day, stored, and merged per year: exact row counts, and estimates next to the numbers."""
+    rows = _landed(spark, folder, ["date_hi", "city_hi", "invoice_id"])
+    columns = ["city_hi", "invoice_id"]
+    daily = materialise(sketches.column_sketches(rows, columns, ["date_hi"]), "daily-sketches")
+    year = F.year("date_hi")
+    yearly = sketches.distinct_estimates(sketches.merge_sketches(daily, [year.alias("year")]))
+    exact = rows.groupBy(year.alias("year")).agg(*[F.count_distinct(c).alias(c) for c in columns])
+    exact = exact.unpivot("year", columns, "column", "n_distinct").withColumnRenamed("year", "of")
+    close = F.abs(yearly.n_distinct - exact.n_distinct) <= F.greatest(F.lit(1), 0.05 * exact.n_distinct)
+    matched = yearly.join(exact, yearly.year.eqNullSafe(F.col("of")) & (yearly["column"] == exact["column"]))
+    return matched.select(yearly.year, yearly["column"], "rows", "filled", exact.n_distinct, close.alias("close"))
+
+
+@query
+def quantiles_from_days(spark, folder):
+    """Quantile sketches per day merged per year: how far each is off, in ranks, against one percent."""
+    rows = _landed(spark, folder, ["date_hi", "total_sales"])
+    daily = materialise(sketches.column_sketches(rows, ["total_sales"], ["date_hi"]), "daily-sketches")
+    year = F.year("date_hi").alias("year")
+    yearly = sketches.quantile_estimates(sketches.merge_sketches(daily, [year]), [0.05, 0.25, 0.5, 0.75, 0.95])
+    sales_of = rows.select(year, F.col("total_sales").cast("double").alias("sale"))
+    number = F.col("sale").isNotNull()
+    ranked = yearly.withColumnRenamed("year", "of").join(sales_of, F.col("of").eqNullSafe(F.col("year")))
+    below, upto = F.count_if(number & (F.col("sale") < F.col("value"))), F.count_if(number & (F.col("sale") <= F.col("value")))
+    n = F.count("sale")
+    close = (below <= (F.col("p") + 0.01) * n) & (upto >= (F.col("p") - 0.01) * n)
+    return ranked.groupBy("year", "p").agg(F.max("rows").alias("rows"), n.alias("filled"), close.alias("close"))
+
+
 @query
 def union_by_name(spark, folder):
     rows = dirty(spark, folder, ["city_hi", "category_hi", "total_sales", "full_sales"])

@@ -106,6 +106,18 @@ _add(
        UNION ALL SELECT 'category', count(DISTINCT category) FROM sales
        UNION ALL SELECT 'quantity', count(DISTINCT quantity) FROM sales""",
 )
+_add(
+    "distinct_counts_from_days",
+    """SELECT year(date_hi) AS year, 'city_hi' AS "column", count(*) AS rows, count(city_hi) AS filled,
+              count(DISTINCT city_hi) AS n_distinct, true AS close FROM dirty GROUP BY 1
+       UNION ALL
+       SELECT year(date_hi), 'invoice_id', count(*), count(invoice_id), count(DISTINCT invoice_id), true FROM dirty GROUP BY 1""",
+)
+_add(
+    "quantiles_from_days",
+    """SELECT year(date_hi) AS year, CAST(p AS DOUBLE) AS p, count(*) AS rows, count(total_sales) AS filled, true AS close
+       FROM dirty, (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) AS t(p) GROUP BY 1, 2""",
+)
 _add("union_by_name", _totals("dirty", "city_hi, category_hi", "full_sales"))
 
 # Missing values
