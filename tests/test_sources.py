@@ -1,12 +1,15 @@
 import datetime
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from weekloom.shared import materialise, shared_folder
 from weekloom.sinks import export_cleaned, export_features, export_version
 from weekloom.sources import load_data, read_folder, read_latest
-from weekloom.sources.versions import list_versions, next_version
+from weekloom.sources import versions
+from weekloom.sources.versions import list_versions, next_version, reserve_version
 from weekloom.streaming import ingest_new_files
 
 SCHEMA = "day date, city string, sales decimal(18,4)"
@@ -85,8 +88,12 @@ def test_unfinished_version_is_skipped_but_keeps_its_number(spark, tmp_path):
     folder = str(tmp_path)
     export_version(frame(spark, 1), folder, "x")
     (tmp_path / "x_v2.parquet" / "_temporary").mkdir(parents=True)
-    assert read_latest(spark, folder, "x").count() == 1
+    with pytest.warns(UserWarning, match="x_v2.parquet is being written"):
+        assert read_latest(spark, folder, "x").count() == 1
     assert next_version(spark, folder, "x") == 3
+    # Nothing says that its writer is alive once it has taken too long.
+    with pytest.raises(RuntimeError, match="x_v2"):
+        read_latest(spark, folder, "x", patience=0)
 
 
 def test_version_without_marker_is_an_error_and_no_older_one(spark, tmp_path):
@@ -101,10 +108,67 @@ def test_number_is_taken_whatever_the_file_type(spark, tmp_path, monkeypatch):
     folder = str(tmp_path)
     export_version(frame(spark), folder, "x", "csv")
     monkeypatch.setattr("weekloom.sources.versions.next_version", lambda *_: 1)
-    with pytest.raises(FileExistsError, match="another writer"):
+    assert export_version(frame(spark), folder, "x", "parquet").endswith("x_v2.parquet")
+    monkeypatch.setattr("weekloom.sources.versions.ATTEMPTS", 2)
+    with pytest.raises(FileExistsError, match="taken 2 numbers"):
         export_version(frame(spark), folder, "x", "parquet")
 
 
+def test_two_writers_never_win_one_number(spark, tmp_path, monkeypatch):
+    """The other writer's claim appears between any two steps of this one, on a store without exclusive create."""
+    folder, write = str(tmp_path), versions._Folder.write
+    other = {"owner": "other", "started": time.time(), "state": "writing"}
+
+    def beaten_before(self, name, content):
+        if "_v1." in name and "other" not in name:
+            write(self, ".x_v1.claim-other", other)
+        write(self, name, content)
+
+    monkeypatch.setattr(versions._Folder, "write", beaten_before)
+    assert reserve_version(spark, folder, "x").number == 2
+    monkeypatch.setattr(versions._Folder, "write", write)
+    # Both claims were written before either writer looked: both withdraw.
+    claims = versions.list_claims
+    seen = []
+
+    def with_rival(*args):
+        if not seen:
+            seen.append(write(versions._Folder(spark, folder), ".x_v3.claim-rival", other))
+        return claims(*args)
+
+    monkeypatch.setattr(versions, "list_claims", with_rival)
+    assert reserve_version(spark, folder, "x").number == 4
+    assert not [c for c in claims(spark, folder, "x") if c.number == 3 and "rival" not in c.path]
+
+
+def test_killed_writer_is_noticed(spark, tmp_path):
+    folder = str(tmp_path)
+    export_version(frame(spark, 1), folder, "x")
+    assert [(c.number, c.state) for c in versions.list_claims(spark, folder, "x")] == [(1, "published")]
+    claim = reserve_version(spark, folder, "x")  # and then nothing
+    with pytest.warns(UserWarning, match="is being written by"):
+        assert read_latest(spark, folder, "x").count() == 1
+    with pytest.raises(RuntimeError, match="seconds ago"):
+        read_latest(spark, folder, "x", patience=0)
+    (tmp_path / "x_v2.parquet" / "_temporary").mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="x_v2.parquet, begun by"):
+        read_latest(spark, folder, "x", patience=0)
+    versions.settle(spark, claim, "failed")
+    with pytest.raises(RuntimeError, match="_SUCCESS"):
+        read_latest(spark, folder, "x")
+    export_version(frame(spark, 2), folder, "x")
+    assert read_latest(spark, folder, "x").count() == 2
+
+
+def test_failed_write_says_so(spark, tmp_path):
+    folder = str(tmp_path)
+    broken = frame(spark).selectExpr("raise_error('no') AS n")
+    with pytest.raises(Exception, match="no"):
+        export_version(broken, folder, "x")
+    assert [(c.number, c.state) for c in versions.list_claims(spark, folder, "x")] == [(1, "failed")]
+    assert export_version(frame(spark), folder, "x").endswith("x_v2.parquet")
+
+
 def test_single_csv_file_is_a_version(spark, tmp_path):
     (tmp_path / "main_data_v7.csv").write_text("n\n1\n")
     assert read_latest(spark, str(tmp_path), "main_data").collect()[0].n == 1
@@ -124,7 +188,7 @@ def test_exports(spark, tmp_path):
 def test_export_refuses_to_overwrite(spark, tmp_path, monkeypatch):
     folder = str(tmp_path)
     export_version(frame(spark), folder, "x")
-    monkeypatch.setattr("weekloom.sinks.export.reserve_version", lambda *_: 1)
+    monkeypatch.setattr("weekloom.sinks.export.reserve_version", lambda *_: versions.list_claims(spark, folder, "x")[0])
     with pytest.raises(Exception, match="already exists"):
         export_version(frame(spark), folder, "x")
 

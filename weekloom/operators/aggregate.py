@@ -81,13 +81,25 @@ def forecast_tables(
     The sales are reduced once to city, category and period; the four tables are
     read off that small result, which ``keep`` writes to the shared folder.
     """
-    cells = (
+    cells = period_cells(df, columns, grain)
+    if keep:
+        cells = materialise(cells, "forecast-cells")
+    return tables_of_cells(cells, columns, grain)
+
+
+def period_cells(df: DataFrame, columns: SalesColumns = RETAIL, grain: str = "week") -> DataFrame:
+    """The sales reduced to city, category and period: exact sum (``__sum``) and number (``__n``).
+
+    Cells of several tables can be added up to those of their union.
+    """
+    return (
         add_period(df, columns.date, grain, columns.week)
         .groupBy(*[quoted(c) for c in (columns.city, columns.category, columns.week)])
         .agg(F.sum(quoted(columns.sales)).alias("__sum"), F.count(quoted(columns.sales)).alias("__n"))
     )
-    if keep:
-        cells = materialise(cells, "forecast-cells")
+
+
+def tables_of_cells(cells: DataFrame, columns: SalesColumns = RETAIL, grain: str = "week") -> ForecastTables:
     city = _summary_of_cells(cells, columns.city, columns.week)
     category = _summary_of_cells(cells, columns.category, columns.week)
     return ForecastTables(

@@ -31,7 +31,7 @@ from weekloom.plans.wrangle import build_features, wrangle
 from weekloom.shared import materialise, shared_folder
 from weekloom.sinks import export_features, export_version
 from weekloom.sources import load_data, read_folder, read_latest
-from weekloom.streaming import ingest_new_files
+from weekloom.streaming import ingest_new_files, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,6 +148,22 @@ def folder_ingest_incremental(spark, folder):
     return _totals(ingest_new_files(spark, path, target, state, SALES_SCHEMA), "category")
 
 
+@query
+def weekly_tables_from_files(spark, folder):
+    """Weekly city summaries kept up to date in batches of two files, folded half way, and run again without news."""
+    path = shared_folder(spark, "arriving-dates")
+    rows = _facts(spark, folder).withColumn("invoice_date", F.date_format("invoice_date", "MM/dd/yyyy"))
+    rows.withColumn("year", F.substring("invoice_date", -4, 4)).write.partitionBy("year").csv(path, header=True)
+    cells, state = shared_folder(spark, "cells"), shared_folder(spark, "cells-state")
+    raw = "invoice_date string, city string, category string, total_sales string"
+    weekly.update_cells(spark, path, cells, state, raw, NAMES, files_per_batch=2)
+    weekly.compact(spark, cells, NAMES)
+    weekly.update_cells(spark, path, cells, state, raw, NAMES)
+    return weekly.stored_tables(spark, cells, NAMES).city_summary.select(
+        WEEK, "city", F.col("Total Sales").alias("sales"), F.col("Average Sales").alias("average"), F.col("Transaction Count").alias("n")
+    )
+
+
 # Columns, types and predicates
 
 

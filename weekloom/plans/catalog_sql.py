@@ -413,6 +413,11 @@ def _summary(key: str, grain: str = "week", source: str = "sales") -> str:
 
 
 _add("weekly_city_summary", _summary("city"))
+_add(
+    "weekly_tables_from_files",
+    """SELECT week_start, city, "Total Sales" AS sales, "Average Sales" AS average, "Transaction Count" AS n FROM by_week""",
+    "by_week AS (" + _summary("city") + ")",
+)
 _add("weekly_category_summary", _summary("category"))
 _add("daily_sales", _summary("category", "day"))
 _add("monthly_sales", _summary("city", "month"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from weekloom.sources.versions import reserve_version
+from weekloom.sources.versions import reserve_version, settle
 
 # Names under which the tables are exported.
 MAIN = "main_data"
@@ -24,18 +24,23 @@ def export_version(
 ) -> str:
     """Write ``df`` as the next version of ``name`` and return its path.
 
-    The number is reserved by a marker before anything is written, whatever the file
-    type. Of two writers that pick the same number, the second one fails.
+    The number is claimed before anything is written, whatever the file type, and the claim
+    says when the version is whole. Of two writers that pick the same number, at most one keeps it.
     """
     if file_type not in ("csv", "parquet"):
         raise ValueError(f"unsupported file type: {file_type}")
-    number = reserve_version(df.sparkSession, folder, name)
-    path = f"{folder.rstrip('/')}/{name}_v{number}.{file_type}"
+    claim = reserve_version(df.sparkSession, folder, name)
+    path = f"{folder.rstrip('/')}/{name}_v{claim.number}.{file_type}"
     if order_by:
         df = df.orderBy(*order_by)
     if file_type == "csv":
         options = {"header": True, **options}
-    df.write.mode("errorifexists").format(file_type).options(**options).save(path)
+    try:
+        df.write.mode("errorifexists").format(file_type).options(**options).save(path)
+    except BaseException:
+        settle(df.sparkSession, claim, "failed")
+        raise
+    settle(df.sparkSession, claim, "published")
     return path
 
 
