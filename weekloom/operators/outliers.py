@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -250,16 +250,26 @@ def _numbers_only(c: Column, dtype: T.DataType) -> Column:
     return F.nanvl(c, F.lit(None).cast(dtype)) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c
 
 
-def outlier_report(df: DataFrame, fences: dict[str, tuple[float, float]]) -> DataFrame:
-    """Fences and number of values outside them, all columns in one pass."""
-    counts, bounds = {}, {}
-    for column, (low, high) in fences.items():
+def outlier_counts(df: DataFrame, fences: dict[str, tuple[float, float]]) -> dict[str, Column]:
+    """The number of values outside the fences, by column. They can be observed while rows are written."""
+    counts = {}
+    for column, bounds in fences.items():
         dtype = df.schema[column].dataType
-        lower, upper = _fences((low, high), dtype)
-        value = _numbers_only(F.col(quoted(column)), dtype)
-        counts[column] = {"outliers": F.count_if(is_outlier(value, lower, upper))}
-        bounds[column] = {"lower": F.lit(float(low)), "upper": F.lit(float(high))}
-    return aggregate_columns(df, counts, constants=bounds).select("column", "lower", "upper", "outliers")
+        lower, upper = _fences(bounds, dtype)
+        counts[column] = F.count_if(is_outlier(_numbers_only(F.col(quoted(column)), dtype), lower, upper))
+    return counts
+
+
+def outlier_report(
+    df: DataFrame, fences: dict[str, tuple[float, float]], counted: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Fences and number of values outside them, all columns in one pass, or in none if ``counted`` brings the numbers."""
+    bounds = {c: {"lower": F.lit(float(low)), "upper": F.lit(float(high))} for c, (low, high) in fences.items()}
+    if counted is None:
+        counts = {c: {"outliers": count} for c, count in outlier_counts(df, fences).items()}
+        return aggregate_columns(df, counts, constants=bounds).select("column", "lower", "upper", "outliers")
+    rows = {c: {**bounds[c], "outliers": F.lit(counted[c]).cast("long")} for c in fences}
+    return df.sparkSession.range(1).select(one_row_per(rows))
 
 
 def cap_outliers(df: DataFrame, fences: dict[str, tuple[float, float]]) -> DataFrame:
