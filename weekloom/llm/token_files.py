@@ -26,6 +26,7 @@ an empty table gives no files and an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from collections.abc import Sequence
@@ -47,7 +48,7 @@ IDS_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 NO_ID = -(1 << 63)
 #: Pieces remembered per Python worker, and the longest that is.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 
 
 def _byte_letters() -> dict[int, str]:
@@ -61,6 +62,17 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+#: A word of small letters, ASCII or from the Latin-1 supplement: there is nothing to normalise or split in it.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+#: Printable ASCII, and the runs into which the vocabulary's own pattern splits that.
+_PRINTABLE = re.compile(rb"[\x21-\x7e]+").fullmatch
+_RUNS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Pieces(dict):
     """Token bytes by white-space separated piece of UTF-8, with a bounded number of pieces remembered.
 
@@ -78,6 +90,14 @@ class Pieces(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _new(self, piece: bytes) -> bytes:
+        if _PLAIN(piece):
+            word = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(_LETTERS)
+            return _packed([token.id for token in self.model.tokenize(word)])
+        if _PRINTABLE(piece):
+            runs = _RUNS(piece)
+            if len(runs) > 1:
+                return b"".join(map(self.__getitem__, runs))
+            return _packed([token.id for token in self.model.tokenize(piece.decode())])
         # A letter or digit and a stop behind it are always apart.
         if piece[-1] in b".," and piece[-2:-1].isalnum():
             return self[piece[:-1]] + self[piece[-1:]]
@@ -85,7 +105,7 @@ class Pieces(dict):
         if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
             # One word of plain letters: nothing to normalise but the case, nothing to split.
             word = text.lower().encode().decode("latin-1").translate(_LETTERS)
-            return np.array([token.id for token in self.model.tokenize(word)], "<u4").tobytes()
+            return _packed([token.id for token in self.model.tokenize(word)])
         return self._encoded(text)
 
     def __missing__(self, piece: bytes) -> bytes:
@@ -251,5 +271,7 @@ def _documents(wanted: Sequence[int] | None):
 def read_token_files(manifest: DataFrame, wanted: Sequence[int] | None = None) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens`` and ``ids`` (little-endian bytes) of all documents, or of those
     ``wanted``, of which alone frames are then read."""
-    files = manifest.select("path", "start").repartition("path")
+    files = manifest.select("path", "start")
+    # By number: a repartitioning without one is coalesced to a single task, as the manifest is small.
+    files = files.repartition(max(1, files.count()), "path")
     return files.mapInArrow(_documents(wanted), "doc_id long, start long, n_tokens long, ids binary")
