@@ -27,13 +27,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from weekloom.llm.components import connected_components
-from weekloom.llm.words import Words, compressed, decompressed, mix, packed_slices, windows
+from weekloom.llm.words import Words, decompressed, mix, packed_slices, slices, windows
 from weekloom.llm.storage import landed, small_batches
 
 REGISTERS = 100
@@ -82,6 +83,8 @@ def _registers(minima: np.ndarray) -> np.ndarray:
 
 def _sketches(shingle: int):
     def run(batches):
+        # Packed here rather than by an expression before: each kind of Python work in a stage has a worker of its own.
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             rows = batch.column("row").to_numpy()
             n = len(rows)
@@ -90,7 +93,7 @@ def _sketches(shingle: int):
             registers = np.zeros((n, REGISTERS), np.uint16)
             # Texts without shingles get a key of their own, which keeps joins on it even.
             digest[:, 0] = mix(rows.astype(np.uint64))
-            for first, _, data, offsets in packed_slices(batch.column("packed")):
+            for first, _, data, offsets in slices(batch.column("text")):
                 key, who = _shingles(Words(data, offsets, lower=True), shingle)
                 if not len(key):
                     continue
@@ -107,7 +110,7 @@ def _sketches(shingle: int):
                     batch.column("row"),
                     batch.column("doc_id"),
                     batch.column("others"),
-                    batch.column("packed"),
+                    pa.array([pack(t.as_py()) if t.is_valid else None for t in batch.column("text").cast(pa.binary())], pa.binary()),
                     pa.array(sizes),
                     pa.array([d.tobytes() for d in digest], pa.binary()),
                     pa.array([r.tobytes() for r in registers], pa.binary()),
@@ -331,7 +334,7 @@ def near_duplicates(
         F.monotonically_increasing_id().alias("row"),
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         others.alias("others"),
-        compressed(F.col(f"`{text_col}`").cast("string")).alias("packed"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
     )
     kind = plain.schema["others"].dataType.simpleString()
     rows = landed(
