@@ -175,9 +175,11 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_c
         F.col(text_col).cast("string").alias("text"),
     )
     counts = labelled.groupBy("label").agg(F.count("*").alias("n"))
-    # Thin a frequent language by its hash first, so that the ranking below sees few rows.
+    # Thin a frequent language by its hash in the scan, so that the shuffle below sees few texts. There is a machine
+    # for each pair of languages, so there are few of them to broadcast. An id is learned from once.
     share = F.least(F.lit(1.0), F.lit(4.0 * SAMPLE) / F.col("n"))
-    thin = labelled.join(counts, "label").where(F.pmod("order", F.lit(1 << 20)) < share * (1 << 20))
+    thin = labelled.join(F.broadcast(counts), "label").where(F.pmod("order", F.lit(1 << 20)) < share * (1 << 20))
+    thin = thin.groupBy("label", "order").agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("label").orderBy("order", "text"))
     sample = thin.withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("label", "text")
     sample = sample.mapInArrow(_histograms, "label string, features binary, shares binary").collect()
