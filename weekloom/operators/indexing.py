@@ -27,7 +27,8 @@ def dense_numbers(df: DataFrame, order: Sequence[Column], name: str = "id") -> D
     part, within = F.shiftright("place", _PART_BITS), F.col("place").bitwiseAND(F.lit((1 << _PART_BITS) - 1))
     sizes = placed.groupBy(part.alias("part")).agg((F.max(within) + 1).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    # One row per range is all that one task sees.
+    offsets = materialise(sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")), "range-offsets")
     numbered = placed.join(F.broadcast(offsets), part == F.col("part"))
     return numbered.select("row.*", (F.col("offset") + within).alias(name))
 
