@@ -1,6 +1,8 @@
 """Operators whose results a brute-force version states exactly."""
 
 import collections
+import itertools
+import random
 import re
 import struct
 import zlib
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weekloom.llm import token_files
-from weekloom.llm.licenses import PHRASES, Scanner, scan_licenses
+from weekloom.llm.licenses import NOTICES, PHRASES, WHOLE_TEXTS, Scanner, chained, scan_licenses
 from weekloom.llm.mixing import mix
 from weekloom.llm.near_duplicates import near_duplicates
 from weekloom.llm.quality import judge
@@ -352,3 +354,48 @@ def test_empty_tables(empty):
     assert judge(empty).count() == 0
     path = public_tokenizers.path("word_bpe_49k.json")
     assert token_files.read_token_files(token_files.write_token_files(empty, path, 2)).count() == 0
+
+
+def chains_of(spans):
+    """All chains, as their covered words."""
+    for size in range(1, len(spans) + 1):
+        for chain in itertools.combinations(spans, size):
+            rooms = [min(y[1] - x[1], y[0] - x[0]) for x, y in zip(chain, chain[1:])]
+            if all(room > 0 for room in rooms):
+                yield chain[0][2] + sum(min(y[2], room) for y, room in zip(chain[1:], rooms)), chain[-1][0]
+
+
+def test_best_chain_like_all_chains():
+    rng = random.Random(5)
+    for _ in range(300):
+        spans = sorted((rng.randrange(30), rng.randrange(20), rng.randrange(1, 7)) for _ in range(rng.randrange(1, 8)))
+        gain, first, last = chained(spans)
+        every = list(chains_of(spans))
+        assert gain == max(g for g, _ in every) and (gain, last) in every and any(first == e - n + 1 for e, _, n in spans)
+
+
+def test_license_labels_need_one_place(spark):
+    apart = " ".join("w%d" % (k % 700) for k in range(3_000))
+    isc = next(t for label, t in NOTICES if label == "isc").split()
+    mit, bsd = (next(t for label, t in WHOLE_TEXTS if label == k) for k in ("mit", "bsd"))
+    notice = "licensed under a Creative Commons Attribution%s 4.0 International license"
+    texts = {
+        f"This is free and easy {apart} unencumbered software {apart} released into the public domain": "",
+        f" {apart} ".join(" ".join(isc[k : k + 8]) for k in range(0, len(isc), 8)): "",
+        f"{apart} {apart} {' '.join(isc)} {apart}": "isc",
+        f"Copyright (c) {mit} {apart}": "mit",
+        bsd.replace("the copyright holder", "the regents"): "bsd",
+        "SPDX-License-Identifier: MIT": "mit",
+        "# SPDX-License-Identifier: Apache-2.0\n": "apache",
+        "SPDX-License-Identifier: GPL-3.0-or-later": "gpl",
+        "SPDX-License-Identifier: LGPL-2.1-only": "lgpl",
+        "SPDX-License-Identifier: Unheard-3.0-or-later": "",
+        "SPDX-License-Identifier:": "",
+        notice % "-NonCommercial": "cc-by-nc",
+        notice % "": "cc-by",
+        notice % "" + f" {apart} " + notice % "-NonCommercial": "cc-by,cc-by-nc",
+        "of the license " * 20_000: "",
+    }
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == dict(enumerate(texts.values()))
+    assert all(0 <= r["score"] <= 1 for r in got)

@@ -2,8 +2,12 @@
 
 The automaton holds all word sequences of the templates. A document's words stream through it: at
 each word it knows the longest match that ends there and templates that hold it. Maximal matches
-of some length, seen as pairs of document and template spans, are chained in order per template;
-a chain's covered share of the template is its score, and a label is given from ``COVERED`` on.
+of some length, seen as pairs of document and template spans, are chained in order per template,
+within overlapping stretches of the document, each four times as long as the template: what is scattered
+farther apart is no license, and a chain of up to twice the template's length lies whole in some stretch.
+A chain's covered share of the template is its score. A label is given from ``COVERED`` on, or if the whole
+template is covered where that has fewer than ``WHOLE`` words; unless a template of another label
+covers more words of the same place, as a notice of a variant of a license covers most of the plain one's.
 
 Phrases are counted apart and exactly: each place where a phrase's words follow each other gives
 the label of the phrase.
@@ -31,8 +35,8 @@ from weekloom.llm.words import ALNUM, Words, slices
 #: Labels by phrase: every place counts.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Notices and openings of common licenses, by label.
-TEMPLATES = (
+#: Notices and openings of common licenses, by label.
+NOTICES = (
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
     (
@@ -58,7 +62,14 @@ TEMPLATES = (
     (
         "lgpl",
         "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
-        "public license as published by the free software foundation",
+        "public license as published by the free software foundation either version 3 of the license or at your option "
+        "any later version",
+    ),
+    (
+        "agpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general "
+        "public license as published by the free software foundation either version 3 of the license or at your option "
+        "any later version",
     ),
     ("agpl", "licensed under the gnu affero general public license version 3"),
     (
@@ -80,8 +91,87 @@ TEMPLATES = (
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license"),
 )
+
+_WARRANTY = (
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or "
+    "consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits "
+    "or business interruption however caused and on any theory of liability whether in contract strict liability or tort "
+    "including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility "
+    "of such damage"
+)
+#: Whole texts of short licenses, by label, without their copyright lines.
+WHOLE_TEXTS = (
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
+        "and this permission notice shall be included in all copies or substantial portions of the software the software is "
+        "provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+        "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+        "holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+        "arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies the software is "
+        "provided as is and the author disclaims all warranties with regard to this software including all implied "
+        "warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect "
+        "or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action "
+        "of contract negligence or other tortious action arising out of or in connection with the use or performance of "
+        "this software",
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+        "following conditions are met 1 redistributions of source code must retain the above copyright notice this list of "
+        "conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice "
+        "this list of conditions and the following disclaimer in the documentation and or other materials provided with the "
+        "distribution 3 neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission this software is provided by "
+        "the copyright holders and contributors as is and any express or implied warranties including but not limited to the "
+        "implied warranties of merchantability and fitness for a particular purpose are disclaimed " + _WARRANTY,
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+        "for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+        "purpose including commercial applications and to alter it and redistribute it freely subject to the following "
+        "restrictions 1 the origin of this software must not be misrepresented you must not claim that you wrote the original "
+        "software if you use this software in a product an acknowledgment in the product documentation would be appreciated "
+        "but is not required 2 altered source versions must be plainly marked as such and must not be misrepresented as being "
+        "the original software 3 this notice may not be removed or altered from any source distribution",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+        "compile sell or distribute this software either in source code form or as a compiled binary for any purpose "
+        "commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or authors "
+        "of this software dedicate any and all copyright interest in the software to the public domain",
+    ),
+)
+#: SPDX identifiers, as words, by label.
+SPDX = (
+    ("mit", "mit"), ("apache", "apache 2 0"), ("isc", "isc"), ("zlib", "zlib"), ("unlicense", "unlicense"), ("mpl", "mpl 2 0"),
+    ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("cc0", "cc0 1 0"),
+    ("cc-by", "cc by 4 0"), ("cc-by-sa", "cc by sa 4 0"), ("cc-by-nc", "cc by nc 4 0"),
+)
+#: The GNU family's identifiers come with versions and endings.
+_GNU = {"gpl": ("2 0", "3 0"), "lgpl": ("2 0", "2 1", "3 0"), "agpl": ("3 0",)}
+
+
+def _spdx_forms() -> tuple[tuple[str, str], ...]:
+    gnu = [(k, f"{k} {v}{end}") for k, versions in _GNU.items() for v in versions for end in ("", " only", " or later")]
+    return tuple((label, f"spdx license identifier {words}") for label, words in (*SPDX, *gnu))
+
+
+TEMPLATES = NOTICES + WHOLE_TEXTS + _spdx_forms()
 #: Words of the shortest match that is chained, and the share of a template that gives its label.
 SHORTEST, COVERED = 3, 0.8
+#: A template of fewer words must be covered whole. A chain lies within two stretches of ``REACH`` template lengths.
+WHOLE, REACH = 10, 2
 
 
 class SuffixAutomaton:
@@ -149,19 +239,23 @@ class SuffixAutomaton:
             yield len(words) - 1, size, self.ends[state]
 
 
-def chained(spans: list[tuple[int, int, int]]) -> int:
-    """Most template words that matches (document end, template end, length), in document order, cover
-    in order. For each template end the best chain so far is held, so time is linear in the matches."""
-    best: dict[int, tuple[int, int]] = {}
-    for doc_end, end, size in spans:
-        gain = size
-        for before_end, (before, before_doc) in best.items():
-            if before_end < end and before_doc < doc_end:
-                # Words that both cover, in the document or in the template, count once.
-                gain = max(gain, before + min(size, end - before_end, doc_end - before_doc))
-        if gain >= best.get(end, (0, 0))[0]:
-            best[end] = gain, doc_end
-    return max((gain for gain, _ in best.values()), default=0)
+def chained(spans: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    """The chain of matches (document end, template end, length), sorted by document end, that covers most template
+    words in order: their number, and the chain's first and last word in the document."""
+    if len(spans) == 1:
+        ((at, _, size),) = spans
+        return size, at - size + 1, at
+    ends_in_doc, ends, sizes = np.array(spans, np.int64).T
+    gains, begins = sizes.copy(), ends_in_doc - sizes + 1
+    for k in range(1, len(spans)):
+        # Words that both cover, in the document or in the template, count once.
+        room = np.minimum(ends[k] - ends[:k], ends_in_doc[k] - ends_in_doc[:k])
+        gain = np.where(room > 0, gains[:k] + np.minimum(room, sizes[k]), 0)
+        best = int(gain.argmax())
+        if gain[best] > gains[k]:
+            gains[k], begins[k] = gain[best], begins[best]
+    best = int(gains.argmax())
+    return int(gains[best]), int(begins[best]), int(ends_in_doc[best])
 
 
 class Scanner:
@@ -183,16 +277,38 @@ class Scanner:
         place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
         return np.where(self.keys[place] == hashes, place, -1)
 
-    def covered(self, stretches: list[list[int]]) -> dict[int, float]:
-        """Covered share of each template of which a match was found."""
-        spans: dict[int, list[tuple[int, int, int]]] = {}
-        base = 0
-        for words in stretches:
+    def covered(self, stretches: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int]]:
+        """Best chains (template, covered words, first word, last word) of a document's stretches (first word, words)."""
+        spans: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        for first, words in stretches:
             for at, size, ends in self.automaton.matches(words, SHORTEST):
                 for template, end in ends.items():
-                    spans.setdefault(template, []).append((base + at, end, size))
-            base += len(words) + 1
-        return {t: chained(s) / len(self.templates[t][1]) for t, s in spans.items()}
+                    # Stretch k begins at k lengths and is two lengths long. A match is in one or two of them.
+                    length = REACH * len(self.templates[template][1])
+                    begun, ended = ((first + x) // length for x in (at - size + 1, at))
+                    for k in range(max(0, ended - 1), begun + 1):
+                        spans.setdefault((template, k), []).append((first + at, end, size))
+        return [(template, *chained(found)) for (template, _), found in spans.items()]
+
+    def labels(self, chains: list[tuple[int, int, int, int]]) -> set[str]:
+        """Labels of the chains that cover enough, and at least as much as any of another label at their place."""
+        enough = []
+        for template, gain, first, last in chains:
+            label, words = self.templates[template]
+            if gain >= (COVERED * len(words) if len(words) >= WHOLE else len(words)):
+                enough.append((first, last, gain, label))
+        enough = sorted(set(enough))
+        longest = max((last - first for first, last, _, _ in enough), default=0)
+        out = set()
+        for first, last, gain, label in enough:
+            if label in out:
+                continue
+            near = enough[bisect_left(enough, (first - longest,)) : bisect_left(enough, (last + 1,))]
+            if not any(
+                more > gain and other != label and 2 * (min(last, b) - max(first, a) + 1) >= last - first + 1 for a, b, more, other in near
+            ):
+                out.add(label)
+        return out
 
 
 def _scan(templates, phrases):
@@ -230,14 +346,14 @@ def _scan(templates, phrases):
                 edges = np.flatnonzero(cut)
                 low, high = edges[:-1], edges[1:]
                 long = known[low] & (high - low >= SHORTEST) if len(known) else np.zeros(0, bool)
-                stretches: dict[int, list[list[int]]] = {}
+                stretches: dict[int, list[tuple[int, list[int]]]] = {}
                 for a, b in zip(low[long], high[long]):
-                    stretches.setdefault(int(owners[a]), []).append(numbers[a:b].tolist())
+                    t = int(owners[a])
+                    stretches.setdefault(t, []).append((int(a - words.bounds[t]), numbers[a:b].tolist()))
                 for t, found in stretches.items():
-                    for template, share in it.covered(found).items():
-                        if share >= COVERED:
-                            labels[t].add(it.templates[template][0])
-                        score[t] = max(score[t], min(1.0, share))
+                    chains = it.covered(found)
+                    labels[t] |= it.labels(chains)
+                    score[t] = max((gain / len(it.templates[template][1]) for template, gain, _, _ in chains), default=0.0)
                 columns["n_words"].append(words.counts)
                 columns["n_base"].append(count)
                 columns["first_word"].append(np.where(count > 0, first, -1))
