@@ -338,3 +338,52 @@ def test_no_reference_rejects_nothing(spark):
     table = spark.createDataFrame([(1, "w " * 100, None), (2, " ".join(f"v{k}" for k in range(90)), "en")], "doc_id long, text string, lang string")
     got = {r["document"]["doc_id"]: r for r in judge(table).collect()}
     assert got[2]["kept"] and not got[1]["kept"] and got[1]["base_failed"]
+
+
+#: Layouts that no training page has.
+UNSEEN = (
+    ('<div class="masthead"><ul class="nav">@<li><a href="/">{0:1}</a></li>@</ul></div>', "<header><nav>@<a href='/'>{0:1}</a> @</nav></header>"),
+    ('<div class="cookie"><h2>{0:4}</h2><p>{0:18}.</p><button>{0:1}</button></div>', '<section class="newsletter"><h2>{0:3}</h2><p>{0:10}.</p></section>', ""),
+    ("<article><section><h1>{1:6}</h1>#</section></article>", '<main><div class="article"><h1>{1:9}</h1>#</div></main>', "<article><div><h2>{1:5}</h2>#</div></article>"),
+    (
+        "<section><h4>{1:3}</h4><ol><li>{1:12}.</li><li>{1:7}.</li></ol><p>{1:30}.</p></section>",
+        "<h3>{1:4}</h3><ul><li>{1:9}.</li></ul><p>{1:25}.</p>",
+        "<figure><figcaption>{1:14}.</figcaption></figure><p>{1:18}.</p>",
+        "<section><h3>{1:5}</h3><dl><dt>{1:2}</dt><dd>{1:12}.</dd></dl></section>",
+        "<div><p>{1:22}.</p></div>",
+        "<div>{1:28}.</div><h2>{1:4}</h2><p>{1:45}.</p>",
+    ),
+    ('<aside class="sidebar"><h2>{0:2}</h2><p>{0:15}.</p></aside><footer>{0:8}</footer>', '<div class="comments">@<div class="comment"><h4>{0:2}</h4><p>{0:22}.</p></div>@</div><footer><ol><li>{0:3}</li></ol></footer>'),
+)
+
+
+def test_extraction_on_layouts_it_was_not_trained_on():
+    field = train_field(labelled_pages())
+    right, total = np.zeros(2), np.zeros(2)
+    for page, states in labelled_pages(300, seed=31, layouts=UNSEEN):
+        for state, got in zip(states, field.decode(features_of(blocks_of(page)))):
+            total[state] += 1
+            right[state] += state == got
+    assert (right / total >= 0.97).all(), right / total
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        "<h3>What happened next</h3>",
+        "<section><h3>What happened next</h3><ol><li>First they came home.</li><li>Then they left</li></ol></section>",
+        "<h2>Causes</h2><h4>Near ones</h4><dl><dt>Rain</dt><dd>It rained for days.</dd></dl>",
+        "<figure><figcaption>The bridge in spring.</figcaption></figure><div>It was rebuilt in the following year by the town.</div>",
+    ],
+)
+def test_headings_and_lists_of_articles_stay(inner):
+    page = (
+        "<html><body><nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></nav><article><h1>The bridge of the old town</h1>"
+        f"<p>The bridge was closed after the flood of the last autumn, and the town had to wait.</p>{inner}"
+        "<p>People of the other bank had to take the long way round until the work was done.</p></article>"
+        "<aside class='sidebar'><h3>More</h3><ul><li><a href='/c'>Another story</a></li></ul></aside><footer>&copy; The paper</footer></body></html>"
+    )
+    text = main_text(page, train_field(labelled_pages()))
+    wanted = ["The bridge of the old town", *re.findall(r">([^<>]+)<", f">{inner}<")]
+    assert all(w in text.split("\n\n") for w in wanted), text
+    assert "Home" not in text and "Another story" not in text and "The paper" not in text

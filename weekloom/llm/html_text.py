@@ -314,6 +314,10 @@ _NOTICES = (
     '<aside class="banner">{0:8}.</aside>',
     '<div class="advert sponsored"><p>{0:25}.</p></div>',
     '<section class="newsletter"><h3>Subscribe {0:2}</h3><form><label>{0:2}</label><input><button>{0:1}</button></form></section>',
+    '<div class="consent" role="dialog"><h2>Privacy {0:2}</h2><p>{0:20}.</p><ul><li>{0:3}</li><li>{0:4}</li></ul><button>{0:1}</button></div>',
+    '<section class="promo sponsored"><h2>{0:5}</h2><p>{0:30}.</p><ol><li>{0:4}</li></ol></section>',
+    '<aside><h4>{0:3}</h4><p>{0:14}.</p></aside>',
+    "",
     "",
     "",
 )
@@ -324,6 +328,9 @@ _BODIES = (
     '<article class="post"><header><h1>{1:8}</h1></header>#</article>',
     '<div id="main"><div class="entry"><h2>{1:6}</h2>#</div></div>',
     "<main><article>#</article></main>",
+    "<article><header><h1>{1:7}</h1><p>{1:15}.</p></header><section>#</section></article>",
+    '<div class="story"><h1>{1:6}</h1><div class="text">#</div></div>',
+    "<main><section><h2>{1:5}</h2>#</section></main>",
 )
 _PARAGRAPHS = (
     "<p>{1:40}.</p>",
@@ -337,6 +344,15 @@ _PARAGRAPHS = (
     "<blockquote>{1:20}.</blockquote>",
     "<table><tr><td>{1:3}</td><td>{1:2}</td></tr></table>",
     "<pre>{1:12}</pre>",
+    "<h3>{1:4}</h3><p>{1:35}.</p>",
+    "<h3>{1:3}</h3><h4>{1:4}</h4><p>{1:20}.</p><h5>{1:2}</h5><p>{1:15}.</p><h6>{1:3}</h6><p>{1:9}.</p>",
+    "<section><h3>{1:4}</h3><p>{1:30}.</p><ol><li>{1:8}.</li><li>{1:3}</li></ol></section>",
+    "<section><h2>{1:3}</h2><p>{1:40}.</p></section>",
+    "<ol><li>{1:12}.</li><li>{1:4}</li><li><p>{1:9}.</p></li></ol>",
+    "<dl><dt>{1:2}</dt><dd>{1:10}.</dd><dt>{1:1}</dt><dd>{1:4}</dd></dl>",
+    "<figure><img src='i'><figcaption>{1:9}.</figcaption></figure>",
+    "<div>{1:35}.</div>",
+    "<div><div>{1:12}.</div><div>{1:50}.</div></div>",
     "<p>{1:25}.</p><aside class='related'><a href='/r'>{0:5}</a></aside><p>{1:20}.</p>",
     "<div class='ad'>{0:9}.</div><p>{1:30}.</p>",
 )
@@ -345,6 +361,8 @@ _TAILS = (
     '<aside class="sidebar"><h3>{0:2}</h3><ul>@<li><a href="/s">{0:6}</a></li>@</ul></aside><footer><p>&copy; {0:4}</p></footer>',
     '<section class="comments"><h3>{0:2}</h3>@<div class="comment"><p>{0:25}.</p></div>@</section><footer>{0:5}</footer>',
     '<div id="comments"><ol>@<li class="comment">{0:18}.</li>@</ol><form><textarea></textarea><label>{0:3}</label></form></div><div class="footer">{0:6}</div>',
+    '<section class="related"><h2>{0:3}</h2>@<article><h3><a href="/m">{0:6}</a></h3><p><a href="/m">{0:12}</a></p></article>@</section><footer><p>{0:12}.</p></footer>',
+    '<section id="comments"><h2>{0:2}</h2>@<article class="comment"><h4>{0:2}</h4><p>{0:30}.</p></article>@</section><footer><h5>{0:2}</h5><ul>@<li><a href="/t">{0:2}</a></li>@</ul></footer>',
     '<form class="search"><label>{0:2}</label><input><button>{0:1}</button></form><div id="footer"><p>&copy; {0:7}</p></div>',
     "",
 )
@@ -353,8 +371,13 @@ _STATE_MARKS = (chr(0xE000), chr(0xE001))
 _SLOT = re.compile(r"\{([01]):(\d+)\}")
 
 
-def labelled_pages(n: int = 160, seed: int = 7) -> list[tuple[str, list[int]]]:
+#: Parts of a page, top to bottom; the third holds paragraphs of the fourth.
+LAYOUTS = (_HEADS, _NOTICES, _BODIES, _PARAGRAPHS, _TAILS)
+
+
+def labelled_pages(n: int = 240, seed: int = 7, layouts=LAYOUTS) -> list[tuple[str, list[int]]]:
     """``n`` pages with the states of their leaf blocks."""
+    heads, notices, bodies, paragraph_forms, tails = layouts
     rng = random.Random(seed)
     vocabulary = ["".join(rng.choice("aeioubcdfglmnprst") for _ in range(rng.randint(2, 9))) for _ in range(600)]
 
@@ -364,9 +387,9 @@ def labelled_pages(n: int = 160, seed: int = 7) -> list[tuple[str, list[int]]]:
 
     pages = []
     for _ in range(n):
-        paragraphs = "".join(rng.choice(_PARAGRAPHS) for _ in range(rng.randint(1, 9)))
-        body = rng.choice(_BODIES).replace("#", paragraphs)
-        layout = repeated(rng.choice(_HEADS)) + rng.choice(_NOTICES) + body + repeated(rng.choice(_TAILS))
+        paragraphs = "".join(rng.choice(paragraph_forms) for _ in range(rng.randint(1, 9)))
+        body = rng.choice(bodies).replace("#", paragraphs)
+        layout = repeated(rng.choice(heads)) + rng.choice(notices) + body + repeated(rng.choice(tails))
 
         def fill(slot: re.Match) -> str:
             count = max(1, round(int(slot[2]) * rng.uniform(0.6, 1.5)))
