@@ -158,7 +158,9 @@ def references(docs: DataFrame) -> dict[str, dict]:
     counted = docs.select("lang", "text").mapInArrow(_reference_counts, "lang string, word string, kind int, n long")
     summed = landed(counted.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")), "quality-counts")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    # Few rows: nine counts and COMMON words of each language.
+    # Few rows: nine counts and COMMON words of each language of enough words, however many names there are.
+    large = summed.where((F.col("word").isNull()) & (F.col("kind") == CLASSES) & (F.col("n") >= MIN_LANGUAGE)).select("lang")
+    summed = summed.join(large, "lang", "left_semi")
     classes = summed.where("word is null").collect()
     common = summed.where("word is not null").withColumn("rank", rank).where(F.col("rank") <= COMMON).collect()
     kinds, chosen = {}, {}
