@@ -177,7 +177,7 @@ def mix(
     extra = F.col("whole") + F.coalesce("take", F.lit(0))
     copies = F.col("base") + (F.col("number") <= extra).cast("long")
     return (
-        units.join(drawn, "k", "left")
+        units.join(drawn.hint("merge"), "k", "left")  # as many as documents: never to be broadcast by an estimate
         .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("number"))
         .select(
             *[F.col(f"key.k{i}").alias(c) for i, c in enumerate(keys)],
