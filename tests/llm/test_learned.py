@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekloom.llm.components import connected_components
+from weekloom.llm import decontaminate
 from weekloom.llm.decontaminate import Item, contaminated
 from weekloom.llm.html_text import blocks_of, extract_text, features_of, labelled_pages, main_text, train as train_field
 from weekloom.llm.language import family_of, held_out, identify, train
@@ -194,6 +195,48 @@ def test_verbatim_short_items_are_all_found(spark, given):
     assert {(i, i) for i, _ in cut} <= got
 
 
+@pytest.mark.parametrize("shortest, longest, n_items", [(4, 14, 120), (15, 59, 120), (60, 768, 40), (769, 5000, 12)])
+def test_recall_by_length_of_items(spark, given, shortest, longest, n_items):
+    """Copies, copies with a fifth of the words replaced, and ones with a third replaced and the answer kept."""
+    rng = random.Random(shortest)
+    pool = [w for r in given.where("n_chars > 1500").orderBy("doc_id").limit(300).select("text").collect() for w in r[0].split()]
+    draw = lambda n: [pool[rng.randrange(len(pool))] for _ in range(n)]
+    items = [draw(rng.randint(shortest, longest)) for _ in range(n_items)]
+    rows, read = [], [Item(i, plain_words(" ".join(t))) for i, t in enumerate(items)]
+    want = set()
+    for i, item in enumerate(items):
+        for lost in (0.0, 0.2, 0.33):
+            kept = [w if k >= len(item) - 3 or rng.random() >= lost else f"x{rng.randrange(99)}" for k, w in enumerate(item)]
+            share = read[i].common(plain_words(" ".join(kept)))
+            if share >= 0.75 or share >= 0.6 and read[i].answered(plain_words(" ".join(kept))):
+                want.add((f"d{len(rows)}", f"i{i}"))
+            rows.append((f"d{len(rows)}", " ".join(draw(150) + kept + draw(150))))
+    benchmark = spark.createDataFrame([(f"i{i}", " ".join(t)) for i, t in enumerate(items)], "item_id string, text string")
+    found = contaminated(spark.createDataFrame(rows, "doc_id string, text string").repartition(4), benchmark).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    assert len(want) > 2 * n_items
+    assert len(found) == len(got) and len(got & want) >= 0.95 * len(want)
+    # What isn't wanted holds an item too, where longer stretches of the text are read with it.
+    assert len(got - want) <= 0.05 * len(want)
+
+
+def test_items_of_several_spaces_are_found_alike(spark, docs, monkeypatch):
+    rng = random.Random(3)
+    items = [(i, " ".join(f"v{rng.randrange(400)}" for _ in range(6 + i))) for i in range(30)]
+    rows = [(i, "w1 w2 " * 20 + text + " w3" * 30) for i, text in items]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    results = []
+    for most, spaces in ((256, 16), (8, 16), (8, 2)):
+        monkeypatch.setattr(decontaminate, "ITEMS", most)
+        monkeypatch.setattr(decontaminate, "SPACES", spaces)
+        found = contaminated(table, benchmark)
+        scans = found._jdf.queryExecution().analyzed().toString().count("MapInArrow")
+        results.append((sorted((r["doc_id"], r["item_id"]) for r in found.collect()), scans))
+    assert [r for r, _ in results] == 3 * [[(i, i) for i in range(30)]]
+    assert [n for _, n in results] == [1, 1, 2]
+
+
 def test_common_subsequence_like_the_table():
     rng = random.Random(6)
     for _ in range(100):
