@@ -49,3 +49,18 @@ def test_nothing_to_drop(spark):
     made = dedup.deduplicate(df)
     assert made.rows is df and tuple(made.report.first()) == (0, 0)
     assert tuple(dedup.deduplicate(df.limit(0)).report.first()) == (0, 0)
+
+
+def _most_in_a_task(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_a_task_compares_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "ROWS_PER_PART", 1_000)
+    # Every second row is the same one.
+    df = spark.range(60_000).select((F.col("id") % 2 * F.col("id")).alias("k"), F.lit("wide " * 9).alias("text")).repartition(40)
+    twice = df.where("k > 0").union(df.where("k > 0"))
+    assert _most_in_a_task(dedup.drop_duplicates(df)) < 2_000
+    assert _most_in_a_task(dedup.duplicate_groups(twice)) < 2_000
+    assert dedup.duplicate_groups(df).collect() == [(0, "wide " * 9, 30_000)]
+    assert dedup.drop_duplicates(df).count() == 30_001 and dedup.duplicate_groups(twice).count() == 30_000

@@ -1,11 +1,16 @@
 """Exact duplicates.
 
-Rows are compared by a digest of 128 bits first. Counting digests moves 16 bytes a row, and less where copies
-share a partition; only rows whose digest repeats have to meet as rows.
+Rows are compared by a digest of 128 bits first. Counting digests moves 16 bytes a row; only rows whose digest
+repeats have to meet as rows.
+
+Whatever is compared is dealt by digest to parts of about ``ROWS_PER_PART`` rows, so a task's memory doesn't grow
+with the table. It meets twice, first by where it comes from too, so that copies of one row, however many, are
+reduced in several tasks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +22,9 @@ from weekloom.shared import materialise
 
 #: Repeated digests that are broadcast, at most: 24 MB of numbers.
 MOST_DIGESTS = 1_000_000
+#: Rows that one task compares, about, and the groups of partitions whose copies are reduced apart.
+ROWS_PER_PART, ORIGINS = 500_000, 64
+_DIGEST, _ORIGIN, _N = "__digest", "__origin", "__n"
 
 
 def _digest(df: DataFrame, keys: Sequence[str] | None) -> list[Column]:
@@ -26,12 +34,30 @@ def _digest(df: DataFrame, keys: Sequence[str] | None) -> list[Column]:
     return [F.xxhash64(nulls, *columns).alias("d1"), F.xxhash64(*reversed(columns), nulls, F.lit(1)).alias("d2")]
 
 
-def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+def _parts(df: DataFrame, rows: int | None) -> int:
+    rows = df.count() if rows is None else rows
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_PART))
+
+
+def _counted(df: DataFrame, digest: Column, rows: int | None = None) -> DataFrame:
+    """The distinct rows of ``df`` with their number, ``__n``; ``digest`` is the same for equal rows."""
+    columns, n = [F.col(quoted(c)) for c in df.columns], _parts(df, rows)
+    # A partition's number is the same if its task is repeated.
+    dealt = df.select(*columns, digest.alias(_DIGEST), F.pmod(F.spark_partition_id(), F.lit(ORIGINS)).alias(_ORIGIN))
+    near = dealt.repartition(n, _DIGEST, _ORIGIN).groupBy(_DIGEST, _ORIGIN, *columns).agg(F.count(F.lit(1)).alias(_N))
+    near = near.select(_DIGEST, *columns, _N).repartition(n, _DIGEST)
+    return near.groupBy(_DIGEST, *columns).agg(F.sum(_N).alias(_N)).select(*columns, _N)
+
+
+def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None, rows: int | None = None) -> DataFrame:
     """Keep one of each set of equal rows, or of rows equal in ``keys``.
 
-    Lazy; all rows move once. Copies within a partition collapse before the shuffle.
+    ``rows``, the number of rows, is counted if it isn't given; the rest is lazy.
     """
-    return df.dropDuplicates(list(keys)) if keys else df.dropDuplicates()
+    keys, n = list(keys or df.columns), _parts(df, rows)
+    dealt = df.withColumns({_DIGEST: _digest(df, keys)[0], _ORIGIN: F.pmod(F.spark_partition_id(), F.lit(ORIGINS))})
+    near = dealt.repartition(n, _DIGEST, _ORIGIN).dropDuplicates([_DIGEST, _ORIGIN, *keys]).drop(_ORIGIN)
+    return near.repartition(n, _DIGEST).dropDuplicates([_DIGEST, *keys]).drop(_DIGEST)
 
 
 @dataclass(frozen=True)
@@ -49,19 +75,20 @@ def deduplicate(df: DataFrame, keys: Sequence[str] | None = None) -> Deduplicate
     rows move once instead.
     """
     repeated = materialise(_counted_digests(df, keys).where(F.col("n") > 1), "repeated-digests")
-    groups = repeated.count()
     report = _report(repeated)
+    groups, surplus = report.first()
     if groups > MOST_DIGESTS:
         return Deduplicated(drop_duplicates(df, keys), report)
     if not groups:
         return Deduplicated(df, report)
     marked = _marked(df, keys, repeated)
     rest = marked.where(~F.col("repeats")).select("row.*")
-    return Deduplicated(rest.unionByName(drop_duplicates(marked.where("repeats").select("row.*"), keys)), report)
+    copies = marked.where("repeats").select("row.*")
+    return Deduplicated(rest.unionByName(drop_duplicates(copies, keys, groups + surplus)), report)
 
 
 def _counted_digests(df: DataFrame, keys: Sequence[str] | None) -> DataFrame:
-    return df.select(*_digest(df, keys)).groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"))
+    return _counted(df.select(*_digest(df, keys)), F.col("d1")).withColumnRenamed(_N, "n")
 
 
 def _marked(df: DataFrame, keys: Sequence[str] | None, repeated: DataFrame) -> DataFrame:
@@ -73,17 +100,15 @@ def _marked(df: DataFrame, keys: Sequence[str] | None, repeated: DataFrame) -> D
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Row values that occur more than once, with how often (``n_dup``)."""
-    return (
-        df.groupBy(*[quoted(c) for c in keys or df.columns])
-        .agg(F.count(F.lit(1)).alias("n_dup"))
-        .where(F.col("n_dup") > 1)
-    )
+    digest = _digest(df, keys)[0]
+    counted = _counted(df.select(*[quoted(c) for c in keys or df.columns]), digest)
+    return counted.where(F.col(_N) > 1).withColumnRenamed(_N, "n_dup")
 
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """One row: duplicated values, and surplus rows that ``drop_duplicates`` would remove.
 
-    Lazy, from digests alone: two different rows count as one with a chance of 2 ** -128 a pair.
+    From digests alone: two different rows count as one with a chance of 2 ** -128 a pair.
     """
     return _report(_counted_digests(df, keys).where(F.col("n") > 1))
 
