@@ -81,6 +81,14 @@ def test_forward_fill_with_a_hot_key(spark, by, ranges):
     assert got == {int(a): (None if v != v else v) for a, v in zip(wanted["at"], wanted["v"])}
 
 
+def test_a_task_fills_few_ranges(spark):
+    df = spark.range(40_000).select("id", F.when(F.col("id") % 9 == 0, F.col("id")).alias("v"))
+    filled = forward_fill(df, "v", ["id"], ranges=40)
+    held = filled.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert held < 40_000 / 8
+    assert filled.where("v <> id - id % 9").isEmpty()
+
+
 def test_forward_fill_of_dates_ordered_by_time_and_text(spark):
     start = datetime.datetime(2024, 1, 1)
     rows = [

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weekloom.operators.schema import quoted, require_columns
 from weekloom.shared import materialise
 
-ROWS_PER_RANGE = 2_000_000
+ROWS_PER_RANGE = 500_000
 _RANGE, _PLACE, _CARRY = "range", "place", "carry"
 
 
@@ -34,17 +34,20 @@ def forward_fill(
     if not order_by:
         raise ValueError("forward fill needs columns that order the rows")
     require_columns(df, [column, *order_by, *partition_by])
-    ordered = in_ranges(df, [*partition_by, *order_by], ranges, rows)
+    ranges = _ranges(df, rows) if ranges is None else ranges
+    ordered = in_ranges(df, [*partition_by, *order_by], ranges)
     window = (
         Window.partitionBy(_RANGE, *[_of_row(c) for c in partition_by])
         .orderBy(_PLACE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = ordered.withColumn("filled", F.last(_of_row(column), ignorenulls=True).over(window))
+    # In as many tasks as ranges: by default their number doesn't grow with the table.
+    met = ordered.repartitionByRange(ranges, _RANGE)
+    filled = met.withColumn("filled", F.last(_of_row(column), ignorenulls=True).over(window))
     carried = _carried(ordered, column, partition_by)
     carry = F.when(_group(partition_by) == F.col(f"{_CARRY}.group"), F.col(f"{_CARRY}.value"))
     value = F.coalesce(F.col("filled"), carry)
-    return filled.join(carried, _RANGE, "left").select(
+    return filled.join(F.broadcast(carried), _RANGE, "left").select(
         *[(value if c == column else _of_row(c)).alias(c) for c in df.columns]
     )
 
@@ -53,6 +56,11 @@ def _of_row(column: str) -> Column:
     return F.col(f"row.{quoted(column)}")
 
 
+def _ranges(df: DataFrame, rows: int | None) -> int:
+    rows = df.count() if rows is None else rows
+    return max(df.sparkSession.sparkContext.defaultParallelism, rows // ROWS_PER_RANGE)
+
+
 def in_ranges(
     df: DataFrame, keys: Sequence[str], ranges: int | None = None, rows: int | None = None
 ) -> DataFrame:
@@ -62,9 +70,7 @@ def in_ranges(
     so a repeated task can't number it differently. The row is a struct, ``row``, whose columns
     may have any names.
     """
-    if ranges is None:
-        rows = df.count() if rows is None else rows
-        ranges = max(df.sparkSession.sparkContext.defaultParallelism, rows // ROWS_PER_RANGE)
+    ranges = _ranges(df, rows) if ranges is None else ranges
     order = [F.col(quoted(c)).asc_nulls_first() for c in keys]
     cut = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     row = F.struct(*[quoted(c) for c in df.columns]).alias("row")
