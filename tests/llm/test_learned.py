@@ -430,3 +430,19 @@ def test_headings_and_lists_of_articles_stay(inner):
     wanted = ["The bridge of the old town", *re.findall(r">([^<>]+)<", f">{inner}<")]
     assert all(w in text.split("\n\n") for w in wanted), text
     assert "Home" not in text and "Another story" not in text and "The paper" not in text
+
+
+def test_passages_are_compared_with_an_item_at_once(monkeypatch):
+    monkeypatch.setattr(decontaminate, "WINDOWS", 64)
+    random = np.random.default_rng(5)
+    item = decontaminate.Item(1, [b"w%d" % k for k in range(24)], random.integers(0, 20, 24))
+    features = random.integers(0, 30, 5_000)
+    begins = random.integers(0, 4_900, 700)
+    ends = begins + random.integers(1, 100, 700)
+    got = item.may_share(features, begins, ends, 0.6)
+
+    def room(a, b):
+        held = np.bincount(item.place[features[a:b]][item.place[features[a:b]] >= 0], minlength=len(item.times))
+        return np.minimum(held, item.times).sum() >= 0.6 * 24
+
+    assert got.tolist() == [room(a, b) for a, b in zip(begins, ends)] and 0 < got.sum() < 700
