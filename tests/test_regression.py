@@ -113,3 +113,40 @@ def test_no_convergence_raises(spark):
     df = spark.createDataFrame([(f"{a}", f"{b}", float(v)) for a, b, v in zip(c, k, y)], "a string, b string, s double")
     with pytest.raises(RuntimeError, match="did not converge"):
         regression.fit_sales_model(df, "s", ["a", "b"], solver="cells", max_iter=2)
+
+
+def test_cells_do_not_move_in_an_iteration(spark, monkeypatch):
+    """Only the directions are shuffled: neither to a bucketed feature nor to a small one do the cells go."""
+    from weekloom.operators import least_squares
+
+    monkeypatch.setattr(least_squares, "MOST_BROADCAST", 50)
+    plans = []
+    kept = least_squares.materialise
+
+    def noted(df, label):
+        if label == "conjugate-step":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr(least_squares, "materialise", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cells = spark.range(4_000).select(
+            (F.col("id") % 400).alias("part"), (F.col("id") % 7).alias("city"), (F.col("id") % 400 + 10 * (F.col("id") % 7)).cast("double").alias("y"), F.lit(1.0).alias("w")
+        )
+        cells = cells.groupBy("part", "city").agg(F.avg("y").alias("y"), F.sum("w").alias("w"))
+        model = least_squares.fit_category_effects(cells, ["part", "city"], "y", "w")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans and all("SortMergeJoin" in p and "BroadcastHashJoin" in p for p in plans)
+    scans = [line for p in plans for line in p.splitlines() if "Scan parquet" in line and "j0#" in line and "j1#" in line]
+    assert scans and all("Bucketed: true" in line for line in scans)
+    for p in plans:
+        lines = p.splitlines()
+        scan = next(k for k, line in enumerate(lines) if "Bucketed: true" in line)
+        above = lines[: scan]
+        join = max(k for k, line in enumerate(above) if "SortMergeJoin" in line)
+        assert not any("Exchange" in line for line in above[join:])
+    got = least_squares.predicted(cells, model).select("row.y", "guess").collect()
+    assert all(abs(r.y - r.guess) < 1e-6 for r in got)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("weekloom")]

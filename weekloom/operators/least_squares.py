@@ -8,6 +8,9 @@ only two sums are.
 
 Category ids are dense numbers from a distributed index. A category with very many cells is dealt
 to several parts in the joins, and reduced before it is shuffled in the sums.
+
+The cells don't move in an iteration, as a rule. They are stored in buckets of the feature with most categories, so
+that only its directions are shuffled to them; features of at most ``MOST_BROADCAST`` categories are broadcast.
 """
 
 from __future__ import annotations
@@ -20,10 +23,12 @@ from pyspark.sql import functions as F
 
 from weekloom.operators.indexing import dense_numbers, join_by_value
 from weekloom.operators.schema import quoted
-from weekloom.shared import materialise
+from weekloom.shared import materialise, shared_folder
 
 #: Cells of one category that are joined by one task.
 CELLS_PER_PART = 100_000
+#: Cells of one bucket, about, and the most categories of a feature whose directions are broadcast: 2 MB of numbers.
+CELLS_PER_BUCKET, MOST_BROADCAST = 1_000_000, 100_000
 
 
 @dataclass(frozen=True)
@@ -73,26 +78,36 @@ def fit_category_effects(
 
     totals = per_category(keyed, "key", d=F.col("w"), b=F.col("w") * F.col("y"), n_cells=F.lit(1).cast("long"))
     numbered = materialise(dense_numbers(totals, [F.col("feature"), F.col("at")], "j"), "categories")
-    for i in range(n):
+    sizes = {r["feature"]: r for r in numbered.groupBy("feature").agg(F.count("*").alias("size"), F.sum("n_cells").alias("cells")).collect()}
+    of_size = sorted(sizes, key=lambda i: sizes[i]["size"], reverse=True)
+    keyed = keyed.drop("y")
+    for i in of_size:
         of = numbered.where(F.col("feature") == i).select("at", F.col("j").alias(f"j{i}"), F.ceil(F.col("n_cells") / CELLS_PER_PART).cast("int").alias(f"m{i}"))
-        keyed = join_by_value(keyed, of, F.col(f"key{i}"))
+        if sizes[i]["size"] <= MOST_BROADCAST:
+            keyed = keyed.join(F.broadcast(of), F.col(f"key{i}") == F.col("at")).drop("at", f"key{i}")
+        else:
+            keyed = join_by_value(keyed, of, F.col(f"key{i}")).drop(f"key{i}")
     row = F.monotonically_increasing_id()
-    dealt = [F.pmod(F.col("row"), F.col(f"m{i}")).cast("int").alias(f"part{i}") for i in range(n)]
-    ids = [f"j{i}" for i in range(n)]
-    indexed = materialise(keyed.select(*ids, *[f"m{i}" for i in range(n)], "w", row.alias("row")).select(*ids, *dealt, "w"), "indexed-cells")
+    dealt = [F.pmod(F.col("row"), F.col(f"m{i}")).cast("int").alias(f"part{i}") for i in of_size]
+    ids = [f"j{i}" for i in of_size]
+    indexed = keyed.select(*ids, *[f"m{i}" for i in of_size], "w", row.alias("row")).select(*ids, *dealt, "w")
+    indexed = _bucketed(indexed, [f"{c}{i}" for i in of_size[:1] for c in ("j", "part")], sizes[of_size[0]]["cells"] if sizes else 0)
 
     parts = F.ceil(F.col("n_cells") / CELLS_PER_PART).cast("int")
-    state = numbered.select("j", "d", parts.alias("parts"), F.lit(0.0).alias("x"), F.col("b").alias("r"), (F.col("b") / F.col("d")).alias("p"))
+    state = numbered.select("feature", "j", "d", parts.alias("parts"), F.lit(0.0).alias("x"), F.col("b").alias("r"), (F.col("b") / F.col("d")).alias("p"))
     size = numbered.agg(F.sum(F.col("b") * F.col("b") / F.col("d"))).first()[0] or 0.0
     squared, iteration = size, 0
     while squared > tolerance * tolerance * size:
         if iteration >= max_iter:
             raise RuntimeError(f"conjugate gradients did not converge in {max_iter} iterations")
         iteration += 1
-        direction = state.select("j", "p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         step = indexed
-        for i in range(n):
-            of = direction.select(F.col("j").alias(f"j{i}"), F.col("part").alias(f"part{i}"), F.col("p").alias(f"p{i}"))
+        for i in of_size:
+            of = state.where(F.col("feature") == i).select(F.col("j").alias(f"j{i}"), F.col("p").alias(f"p{i}"), "parts")
+            if sizes[i]["size"] <= MOST_BROADCAST:
+                step = step.join(F.broadcast(of.drop("parts")), f"j{i}")
+                continue
+            of = of.select(f"j{i}", f"p{i}", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias(f"part{i}"))
             step = step.join(of, [f"j{i}", f"part{i}"])
         total = sum((F.col(f"p{i}") for i in range(1, n)), F.col("p0"))
         image = per_category(step.withColumn("v", F.col("w") * total), "j", q=F.col("v")).select(F.col("at").alias("j"), "q")
@@ -104,7 +119,7 @@ def fit_category_effects(
         r = F.col("r") - F.lit(alpha) * F.col("q")
         before, squared = squared, stepped.agg(F.sum(r * r / F.col("d"))).first()[0]
         state = stepped.select(
-            "j", "d", "parts",
+            "feature", "j", "d", "parts",
             (F.col("x") + F.lit(alpha) * F.col("p")).alias("x"),
             r.alias("r"),
             (r / F.col("d") + F.lit(squared / before) * F.col("p")).alias("p"),
@@ -118,6 +133,21 @@ def fit_category_effects(
     return CategoryEffects(tuple(features), effects, tuple(by_feature.get(i, 0.0) for i in range(n)), iteration)
 
 
+def _bucketed(cells: DataFrame, columns: Sequence[str], n_cells: int) -> DataFrame:
+    """``cells``, stored in buckets of ``columns`` and read back; without columns, just stored."""
+    if not columns:
+        return materialise(cells, "indexed-cells")
+    spark, path = cells.sparkSession, shared_folder(cells.sparkSession, "indexed-cells")
+    n = max(spark.sparkContext.defaultParallelism, -(-n_cells // CELLS_PER_BUCKET))
+    name = f"weekloom_{path.rpartition('-')[2]}"
+    dealt = cells.repartition(n, *columns)
+    dealt.write.format("parquet").option("path", path).bucketBy(n, *columns).sortBy(*columns).saveAsTable(name)
+    stored = spark.table(name)
+    # The name alone: the files stay in the shared folder, like other intermediate tables.
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def predicted(df: DataFrame, model: CategoryEffects) -> DataFrame:
     """The rows of ``df`` as a struct, ``row``, and ``guess``, the sum of the effects of each row's categories."""
     keys = [category_key(c).alias(f"key{i}") for i, c in enumerate(model.features)]
