@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -255,6 +256,49 @@ def test_a_damaged_frame_is_noticed(tmp_path):
         damaged.document(1)
 
 
+def test_new_words_of_a_batch_go_to_the_tokenizer_together(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, pieces, calls = Tokenizer.from_file(path), token_files.Pieces(path), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return model.encode_batch_fast(texts, **options)
+
+    model, pieces.model = pieces.model, Counted()
+    odd = [
+        None, "", " ", " \n\t a  b\r\n", "a\u00a0b\u3000c\x1cd\x85e", "It's don''t I'LL x'S 'tis", "a\x00b \x7f \x1f",
+        "<|endoftext|> is A|B <|x", "Öl straße ÀÉÍ íàß\u00ad×÷ ŸŒ İstanbul K Å ﬁ", "e\u0301 \u0301x Ы ы русский, 漢字 한 3½ ١٢",
+        "3.14, x=1e-5; [a](http://b.c/d?e=f&g) ###!!", "y" * 500 + " " + "é" * 500 + " Ж" * 3 + "Ж" * 200, "naïve,naïve. NAÏVE!", "😀😀 a😀b",
+    ]
+    words = [" ".join(f"{stem}{chr(97 + k % 26) * (k // 26 % 9 + 1)}é{k}." for stem in "abc") for k in range(2000)]
+    texts = odd + words
+    want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(pieces.encode(pa.array(texts, pa.string()))) == want
+    assert calls == [1]
+    # What is remembered changes no ids, however little that is.
+    for name, value in (("REMEMBERED", 7), ("LONGEST", 5), ("AT_ONCE", 50)):
+        monkeypatch.setattr(token_files, name, value)
+    few = token_files.Pieces(path)
+    for first in [*range(0, len(texts), 40), *range(0, 120, 3)]:
+        assert list(few.encode(pa.array(texts[first : first + 40], pa.string()))) == want[first : first + 40]
+        assert max(len(few.words.known), len(few.others.known)) <= 7
+    assert list(few.encode(pa.array([], pa.string()))) == []
+    assert list(few.encode(pa.array(odd, pa.large_string())[3:])) == want[3 : len(odd)]
+    # Bytes that are no UTF-8 are replacement characters.
+    broken = pa.array([b"a \xff\xc3 \xe9t\xe9, b", b"ok"]).view(pa.string())
+    replaced = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("a \ufffd\ufffd \ufffdt\ufffd, b", "ok")]
+    assert [np.frombuffer(t, "<u4").tolist() for t in few.encode(broken)] == replaced
+
+
+def test_small_batches_are_put_together(monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [k], "text": ["x" * k]}) for k in range(100)]
+    monkeypatch.setattr(token_files, "ENOUGH", 500)
+    together = list(token_files._together(batches))
+    assert len(together) < 30 and all(b.nbytes <= 500 for b in together)
+    assert pa.Table.from_batches(together).equals(pa.Table.from_batches(batches))
+
+
 # ------------------------------------------------------------------ licenses
 
 

@@ -12,8 +12,9 @@ Any zstandard reader can decompress such a file as a whole; a reader of some doc
 table from the end, and then only their frames, and checks each against its checksum.
 
 The word-level tokenizers here never join text across white space, so a text's ids are its
-white-space separated pieces' ids in a row. Each Python worker remembers the ids of pieces it has met
-and asks the tokenizer only for new ones, for plain words its model alone.
+white-space separated pieces' ids in a row. Arrow splits a batch of texts, finds its distinct pieces and
+puts their ids in the texts' order. Each Python worker remembers the ids of words and pieces met last. New
+plain words go to the tokenizer's model alone, many in one call, other new pieces to the tokenizer.
 
 A task writes to a file name of its own and returns it; only names that Spark committed to the
 manifest count, so a repeated or lost task leaves at most an unlisted file. The folder must be
@@ -26,13 +27,15 @@ an empty table gives no files and an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -40,6 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from weekloom.shared import shared_folder
 from weekloom.llm.storage import landed, small_batches
@@ -47,8 +51,10 @@ from weekloom.llm.storage import landed, small_batches
 IDS_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 NO_ID = -(1 << 63)
-#: Pieces remembered per Python worker, and the longest that is.
+#: Plain words, and other pieces, remembered per Python worker, and the longest that are (bytes).
 REMEMBERED, LONGEST = 500_000, 64
+#: Strings encoded at once, and bytes up to which small batches are put together.
+AT_ONCE, ENOUGH = 10_000, 8 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -59,71 +65,131 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-_LETTERS = _byte_letters()
+#: Those of printable bytes that have another letter.
+_SPELLED = [(chr(b), letter) for b, letter in _byte_letters().items() if b > 32 and chr(b) != letter]
 
 
-#: A word of small letters, ASCII or from the Latin-1 supplement: there is nothing to normalise or split in it.
-_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
-#: Printable ASCII, and the runs into which the vocabulary's own pattern splits that.
-_PRINTABLE = re.compile(rb"[\x21-\x7e]+").fullmatch
-_RUNS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+#: Letters of ASCII and of the Latin-1 supplement: of them and printable ASCII only the case is normalised.
+_SMALL, _LARGE = "a-z\u00df-\u00f6\u00f8-\u00ff", "\u00c0-\u00d6\u00d8-\u00de"
+_WORD, _PRINTABLE = f"^[{_SMALL}]+$", f"^[!-~{_SMALL}{_LARGE}]+$"
+#: The runs into which the vocabulary's own pattern splits that; line feeds are between pieces.
+_RUNS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_SMALL}]+|[0-9]|\n|[^{_SMALL}0-9\n]+").findall
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return np.array(ids, "<u4").tobytes()
 
 
-class Pieces(dict):
-    """Token bytes by white-space separated piece of UTF-8, with a bounded number of pieces remembered.
+def _joined(strings: pa.Array, by: str) -> str:
+    whole = pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings)
+    return pc.binary_join(whole, pa.scalar(by, strings.type))[0].as_buffer().to_pybytes().decode("utf-8", "replace")
 
-    A full generation of pieces becomes the former one; a piece that is met again moves back to the
-    present one, so frequent pieces stay.
-    """
+
+def _binary(ends: np.ndarray, data: bytes) -> pa.Array:
+    """The pieces of ``data`` that end at ``ends``."""
+    at = np.concatenate([[0], ends]).astype("<i8")
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(data)])
+
+
+class Remembered:
+    """Token bytes of the strings met last, a bounded number of them; ``encode`` is asked for others."""
+
+    def __init__(self, encode: Callable[[pa.Array], pa.Array]) -> None:
+        self.encode = encode
+        self.known, self.tokens = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def of(self, strings: pa.Array) -> pa.Array:
+        strings = strings.cast(pa.large_string()).dictionary_encode()
+        distinct, at = strings.dictionary, strings.indices
+        place = pc.index_in(distinct, value_set=self.known)
+        new = distinct.filter(place.is_null())
+        parts = [self.encode(new.slice(i, AT_ONCE)) for i in range(0, len(new), AT_ONCE)]
+        place = place.to_numpy(zero_copy_only=False)
+        if len(new):
+            place = np.where(np.isnan(place), np.nancumsum(np.isnan(place)) - 1 + len(self.known), place)
+        place = place.astype(np.int64)
+        tokens = pa.concat_arrays([self.tokens, *parts]).take(pa.array(place))
+        # Those met now come first; those unmet for longest are forgotten.
+        unmet = np.ones(len(self.known), bool)
+        unmet[place[place < len(self.known)]] = False
+        short = pc.less_equal(pc.binary_length(distinct), LONGEST)
+        for name, met in (("known", distinct), ("tokens", tokens)):
+            kept = [met.filter(short), getattr(self, name).filter(pa.array(unmet))]
+            setattr(self, name, pa.concat_arrays([pa.concat_arrays(kept).slice(0, REMEMBERED)]))
+        return tokens.take(at)
+
+
+class Pieces:
+    """Token bytes of texts, by white-space separated piece."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
+        # A task has one core; more threads would take other tasks'.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.former: dict[bytes, bytes] = {}
-
-    def _encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _new(self, piece: bytes) -> bytes:
-        if _PLAIN(piece):
-            word = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(_LETTERS)
-            return _packed([token.id for token in self.model.tokenize(word)])
-        if _PRINTABLE(piece):
-            runs = _RUNS(piece)
-            if len(runs) > 1:
-                return b"".join(map(self.__getitem__, runs))
-            return _packed([token.id for token in self.model.tokenize(piece.decode())])
-        # A letter or digit and a stop behind it are always apart.
-        if piece[-1] in b".," and piece[-2:-1].isalnum():
-            return self[piece[:-1]] + self[piece[-1:]]
-        text = piece.decode("utf-8", "replace")
-        if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
-            # One word of plain letters: nothing to normalise but the case, nothing to split.
-            word = text.lower().encode().decode("latin-1").translate(_LETTERS)
-            return _packed([token.id for token in self.model.tokenize(word)])
-        return self._encoded(text)
-
-    def __missing__(self, piece: bytes) -> bytes:
-        packed = self.former.get(piece)
-        if packed is None:
-            packed = self._new(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED // 2:
-                self.former = dict(self)
-                self.clear()
-            self[piece] = packed
-        return packed
-
-    def encode(self, text: bytes) -> bytes:
+        #: The same model for text that is normalised and split already.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.words, self.others = Remembered(self._words), Remembered(self._others)
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Token bytes of words that are normalised and split; all of them are one text."""
+        spelled = _joined(words, " ").encode().decode("latin-1")
+        for byte, letter in _SPELLED:
+            spelled = spelled.replace(byte, letter)
+        [found] = self.model.encode_batch_fast([spelled], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) == len(words):
+            return _binary(4 * ends, ids.tobytes())
+        # A vocabulary that doesn't mark where words end.
+        each = self.model.encode_batch_fast(spelled.split(" "), add_special_tokens=False)
+        return pa.array([_packed(e.ids) for e in each], pa.large_binary())
+
+    def _others(self, pieces: pa.Array) -> pa.Array:
+        each = self.tokenizer.encode_batch_fast(_joined(pieces, "\n").split("\n"), add_special_tokens=False)
+        return pa.array([_packed(e.ids) for e in each], pa.large_binary())
+
+    def _tokens(self, pieces: pa.Array) -> pa.Array:
+        """Token bytes of distinct pieces."""
+        word = pc.match_substring_regex(pieces, _WORD)
+        runs = pc.and_not(pc.match_substring_regex(pieces, _PRINTABLE), word)
+        other = pc.invert(pc.or_(word, runs))
+        found = _RUNS(_joined(pieces.filter(runs), "\n").lower() + "\n") if runs.true_count else []
+        words = [pieces.filter(word), pa.array([run for run in found if run != "\n"], pieces.type)]
+        tokens = self.words.of(pa.concat_arrays(words))
+        # A piece of several runs ends where its last run does.
+        n = np.flatnonzero(np.array([run == "\n" for run in found], bool))
+        ends = np.concatenate([np.arange(1, word.true_count + 1), word.true_count + n - np.arange(len(n))])
+        parts = [_binary(np.frombuffer(tokens.buffers()[1], "<i8")[ends], tokens.buffers()[2] or b"")] if len(ends) else []
+        if other.true_count:
+            parts.append(self.others.of(pieces.filter(other)))
+        order = np.concatenate([np.flatnonzero(kind) for kind in (word, runs, other)])
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        return pa.concat_arrays(parts).take(pa.array(place))
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The token bytes of each text; a null has none."""
         # Special tokens are looked for before the case is; a text that may hold one is left whole.
-        if b"<|" in text:
-            return self._encoded(text.decode("utf-8", "replace"))
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        whole = pc.match_substring(texts, "<|").fill_null(False)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(whole, "", texts)))
+        n_pieces = pc.list_value_length(split).fill_null(0).to_numpy(zero_copy_only=False)
+        pieces = split.flatten().dictionary_encode()
+        at, data = np.zeros(1, "<i8"), b""
+        if len(pieces):
+            _, at, data = self._tokens(pieces.dictionary).take(pieces.indices).buffers()
+            at, data = np.frombuffer(at, "<i8"), memoryview(data or b"")
+        at = at[np.concatenate([[0], np.cumsum(n_pieces, dtype=np.int64)])].tolist()
+        for text, special, start, end in zip(texts, whole.to_pylist(), at, at[1:]):
+            if special:
+                text = text.as_buffer().to_pybytes().decode("utf-8", "replace")
+                yield _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            else:
+                yield bytes(data[start:end])
 
 
 _pieces: dict[str, Pieces] = {}
@@ -190,6 +256,19 @@ class FrameReader:
         return data
 
 
+def _together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of up to ``ENOUGH`` bytes: the fewer, the fewer words are met in several."""
+    some, size = [], 0
+    for batch in batches:
+        if some and size + batch.nbytes > ENOUGH:
+            yield pa.concat_batches(some)
+            some, size = [], 0
+        some.append(batch)
+        size += batch.nbytes
+    if some:
+        yield pa.concat_batches(some)
+
+
 def _write(folder: str, tokenizer: str, end_id: int):
     end = struct.pack("<I", end_id)
 
@@ -197,10 +276,10 @@ def _write(folder: str, tokenizer: str, end_id: int):
         pieces, writer, n_tokens = _pieces_of(tokenizer), None, 0
         where, base = fs.FileSystem.from_uri(folder)
         name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zst"
-        for batch in batches:
-            ids, texts = batch.column("doc_id").fill_null(NO_ID), batch.column("text").cast(pa.binary())
-            for doc_id, text in zip(ids.to_pylist(), texts):
-                data = (pieces.encode(text.as_py()) if text.is_valid else b"") + end
+        for batch in _together(batches):
+            ids = batch.column("doc_id").fill_null(NO_ID)
+            for doc_id, tokens in zip(ids.to_pylist(), pieces.encode(batch.column("text"))):
+                data = tokens + end
                 if writer is None:
                     writer = FrameWriter(where.open_output_stream(f"{base}/{name}", compression=None))
                 writer.add(doc_id, data)
